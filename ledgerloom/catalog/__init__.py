@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import transactions  # noqa: F401
+from . import edges, transactions  # noqa: F401
 from .base import ORACLES, QUERIES  # noqa: F401

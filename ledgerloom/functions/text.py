@@ -2,43 +2,62 @@
 
 from __future__ import annotations
 
-import ipaddress
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-_IPV4 = rf"\A{_OCTET}(\.{_OCTET}){{3}}\z"
+_DOTTED = rf"{_OCTET}(\.{_OCTET}){{3}}"
+_IPV4 = rf"\A{_DOTTED}\z"
 
 
-def sha256_hex(col: Column) -> Column:
-    """SHA-256 of the string form; NULL stays NULL."""
-    return F.sha2(col.cast("string"), 256)
+def _ipv6_pattern() -> str:
+    """Eight groups, or fewer around one ``::``; the last two may be a dotted address."""
+    h = "[0-9a-fA-F]{1,4}"
+    forms = [f"({h}:){{7}}{h}", f"({h}:){{6}}{_DOTTED}"]
+    for left in range(8):
+        head = f"{h}(:{h}){{{left - 1}}}" if left else ""
+        room = 7 - left
+        forms.append(f"{head}::" + (f"({h}(:{h}){{0,{room - 1}}})?" if room else ""))
+        if room >= 2:
+            forms.append(f"{head}::({h}:){{0,{room - 2}}}{_DOTTED}")
+    return rf"\A({'|'.join(forms)})(%[^%/]+)?\z"
 
 
-@F.pandas_udf(T.StringType())
-def _ipv6_network(addresses: pd.Series) -> pd.Series:
-    def network(text):
-        try:
-            return str(ipaddress.IPv6Network(f"{text}/24", strict=False))
-        except ValueError:
-            return None
+_IPV6 = _ipv6_pattern()
 
-    return addresses.map(network, na_action="ignore").astype(object).where(addresses.notna(), None)
 
+def sha256_hex(col: Column) -> Column:
+    """SHA-256 of the string form; NULL stays NULL."""
+    return F.sha2(col.cast("string"), 256)
 
-def ip_network(col: Column, ipv6: bool = True) -> Column:
-    """The /24 network of an address; NULL for a missing or invalid one.
 
-    IPv4 stays in native expressions. Only text with a colon reaches the Arrow function.
-    ``ipv6=False`` leaves Python out of the plan for sources known to hold IPv4 only.
-    """
+def _ipv6_network(col: Column) -> Column:
+    """First 24 bits of an IPv6 address in compressed form, from its first two groups."""
+    bare = F.split_part(col, F.lit("%"), F.lit(1))
+    short = bare.contains("::")
+    left = F.split(F.split_part(bare, F.lit("::"), F.lit(1)), ":")
+    right = F.split(F.split_part(bare, F.lit("::"), F.lit(2)), ":")
+    # With "::" the second group is explicit only when two groups precede it, or when seven
+    # follow a leading "::"; a dotted tail counts as two groups.
+    follow = F.size(right) + F.when(bare.contains("."), 1).otherwise(0)
+    first = F.get(left, F.lit(0))
+    second = F.when(F.size(left) >= 2, F.get(left, F.lit(1))).when(
+        short & (first == "") & (follow == 7), F.get(right, F.lit(0))
+    )
+    number = lambda g: F.coalesce(F.conv(F.nullif(g, F.lit("")), 16, 10).cast("long"), F.lit(0).cast("long"))
+    g1, g2 = number(first), number(second).bitwiseAND(F.lit(0xFF00))
+    text = (
+        F.when((g1 == 0) & (g2 == 0), F.lit("::"))
+        .when(g2 == 0, F.concat(F.lower(F.hex(g1)), F.lit("::")))
+        .otherwise(F.concat(F.lower(F.hex(g1)), F.lit(":"), F.lower(F.hex(g2)), F.lit("::")))
+    )
+    return F.when(col.rlike(_IPV6), F.concat(text, F.lit("/24")))
+
+
+def ip_network(col: Column) -> Column:
+    """The /24 network of an IPv4 or IPv6 address; NULL for a missing or invalid one."""
     v4 = F.when(col.rlike(_IPV4), F.concat(F.substring_index(col, ".", 3), F.lit(".0/24")))
-    if not ipv6:
-        return v4
-    return F.coalesce(v4, _ipv6_network(F.when(col.contains(":"), col)))
+    return F.coalesce(v4, _ipv6_network(col))
 
 
 def hub_key(prefix: str, *parts: Column) -> Column:

@@ -12,9 +12,9 @@ def mask_clients(clients: DataFrame) -> DataFrame:
     ).drop("email", "passport_id")
 
 
-def mask_transactions(tx: DataFrame, ipv6: bool = True) -> DataFrame:
+def mask_transactions(tx: DataFrame) -> DataFrame:
     """Network instead of address and, where present, the hash instead of the recipient."""
-    out = tx.withColumn("ip_network", ip_network(F.col("ip_address"), ipv6))
+    out = tx.withColumn("ip_network", ip_network(F.col("ip_address")))
     if "recipient_id" in tx.columns:
         out = out.withColumn("recipient_id_hash", sha256_hex(F.col("recipient_id")))
     return out.drop("ip_address", "recipient_id")

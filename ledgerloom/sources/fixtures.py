@@ -59,7 +59,9 @@ VIEWS = {
             "currency": "'RUB'",
             "merchant": "concat('part_', l_partkey)",
             "transaction_type": "case l_returnflag when 'A' then 'deposit' when 'N' then 'withdrawal' else 'p2p' end",
-            "ip_address": "concat('172.', l_orderkey % 16 + 16, '.', (l_orderkey * 3 + o_custkey) % 250, '.', l_linenumber)",
+            "ip_address": "concat(case when l_orderkey % 23 = 0 then '10.0.0' else concat(11 + cast(floor(l_orderkey / 32768) "
+                          "as bigint) % 200, '.', cast(floor(l_orderkey / 128) as bigint) % 256, '.', l_orderkey % 16) "
+                          "end, '.', l_linenumber)",
             "session_id": "concat('o', l_orderkey)",
             "recipient_id": _recipient("l_returnflag = 'R'"),
         },
