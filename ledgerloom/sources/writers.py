@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import node_type
+from ..session import cut
 from .readers import EDGE_KEYS, EDGE_TYPES, NODE_KEYS, NODE_TYPES
 
 
@@ -71,9 +72,27 @@ def truncate_and_load(df: DataFrame, name: str, root: str) -> str:
     )
 
 
-def replace_slice(df: DataFrame, path: str, column: str = "date") -> None:
-    """Overwrite only the partitions of ``column`` that occur in ``df``; others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+def replace_slice(df: DataFrame, path: str, column: str = "date", partition: str | None = None) -> None:
+    """Replace the rows of every value of ``column`` that occurs in ``df``; others stay.
+
+    Only the partitions that hold such rows are rewritten. ``partition`` names a coarser
+    partition column (a month, say) when single slices are too small for folders of their own.
+    """
+    if partition is not None and _exists(df.sparkSession, path):
+        old = df.sparkSession.read.schema(df.schema).parquet(path)
+        touched = old.join(df.select(partition).distinct(), partition, "left_semi")
+        kept = touched.join(df.select(column).distinct(), column, "left_anti")
+        # Written first: the partitions read here are the ones about to be overwritten.
+        df = cut(kept.select(*df.columns).unionByName(df), "slice")
+    partition = partition or column
+    df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
 # --- keyed changes as frames ---------------------------------------------------------------
