@@ -80,7 +80,7 @@ def q_load_rates(spark, sf):
     first = days.agg(F.min("date")).first()[0]
     other = loads.rates_for(spark, str(first), {k: v * 2 for k, v in loads.RATES.items()})
     writers.replace_slice(other.withColumn("month", month), path, "date", "month")
-    return as_text(spark.read.schema(RATES).parquet(path), "date")
+    return as_text(spark.read.schema(RATES).parquet(path).drop("month"), "date")
 
 
 @query("rates_slice", f"""{views('tx_orders')}, days as (select distinct cast(datetime as date) as date from tx_orders),

@@ -40,10 +40,10 @@ def largest_share(counts: DataFrame, n: str = "n") -> DataFrame:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, std, min, quartiles, max of an integer-like column.
+    """count, mean, std, min, quartiles, max of a column of group sizes.
 
-    ``percentile`` keeps one counter per distinct value; use :func:`quantiles` for columns
-    with unbounded distinct values.
+    ``percentile`` keeps one counter per distinct value. Sizes that sum to N have at most
+    sqrt(2 N) distinct values; other columns belong to :func:`quantiles`.
     """
     value = F.col(col)
     return df.agg(
@@ -61,10 +61,10 @@ def describe(df: DataFrame, col: str) -> DataFrame:
 def quantiles(df: DataFrame, group: str, col: str, probs: dict[str, float], decimals: int = 2) -> DataFrame:
     """Exact interpolated quantiles per group without gathering a group in one task.
 
-    Values are taken as integers of ``10**-decimals`` and narrowed by 20 bits at a time: a
-    level counts the values per bucket, finds the buckets that hold the wanted ranks, and
-    the next level looks only inside those. No window partition exceeds 2**20 rows, whatever
-    the size of the group. Result: ``group`` and one column per entry of ``probs``.
+    Values are taken as integers of ``10**-decimals``. The first level counts them in buckets
+    of 2**20, the second looks only inside the buckets that hold the wanted ranks. A window
+    partition has at most 2**20 rows (for amounts up to 10**10), whatever the size of the
+    group. Result: ``group`` and one column per entry of ``probs``.
     """
     unit = F.lit(10**decimals)
     base = (
@@ -87,8 +87,8 @@ def quantiles(df: DataFrame, group: str, col: str, probs: dict[str, float], deci
     ).select(group, "prob", "frac", F.col("r.end").alias("end"), F.col("r.rank").alias("rank"),
              F.lit(0).cast("long").alias("prefix"))
 
-    for shift in (40, 20, 0):
-        parent = F.shiftright("v", shift + 20) if shift < 40 else F.lit(0).cast("long")
+    for shift in (20, 0):
+        parent = F.shiftright("v", 20) if shift == 0 else F.lit(0).cast("long")
         buckets = base.groupBy(group, parent.alias("prefix"), F.shiftright("v", shift).alias("bucket")).agg(
             F.sum("n").alias("n")
         )

@@ -305,6 +305,7 @@ def co_occurrence_edges(
     min_rows: int,
     expand_limit: int = DEFAULT_EXPAND_LIMIT,
     self_loops: bool = True,
+    collapse: bool = True,
 ) -> DataFrame:
     """(src, dst, relationship, weight, multiplicity): pairs of *rows* of a hub, counted per pair of clients.
 
@@ -312,6 +313,7 @@ def co_occurrence_edges(
     multiplicity is the product of both clients' row counts; a client with several rows gets
     a self-loop. Hubs above ``expand_limit`` clients come as client-to-hub rows whose
     relationship ends in ``_hub`` and whose multiplicity is the client's row count.
+    ``collapse=False`` leaves one row per hub and pair, for callers that aggregate anyway.
     """
     per_client = (
         tx.select(key.cast("string").alias("hub"), "client_id")
@@ -336,9 +338,12 @@ def co_occurrence_edges(
             .alias("k"),
         )
         .filter(F.col("k") > 0)
-        .groupBy("src", "dst")
-        .agg(F.sum("k").alias("multiplicity"))
-        .select("src", "dst", F.lit(relationship).alias("relationship"), F.lit(weight).alias("weight"), "multiplicity")
+        .withColumnRenamed("k", "multiplicity")
+    )
+    if collapse:
+        small = small.groupBy("src", "dst").agg(F.sum("multiplicity").alias("multiplicity"))
+    small = small.select(
+        "src", "dst", F.lit(relationship).alias("relationship"), F.lit(weight).alias("weight"), "multiplicity"
     )
     large = sized.filter(F.col("n_clients") > expand_limit).select(
         F.col("client_id").alias("src"), F.col("hub").alias("dst"),
@@ -348,16 +353,19 @@ def co_occurrence_edges(
     return small.unionByName(large)
 
 
-def session_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT) -> DataFrame:
+def session_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT, collapse: bool = True) -> DataFrame:
     """Sessions with more than 5 rows."""
-    return co_occurrence_edges(tx, F.col("session_id"), "session_shared", 0.5, 6, expand_limit)
+    return co_occurrence_edges(
+        tx, F.col("session_id"), "session_shared", 0.5, 6, expand_limit, collapse=collapse
+    )
 
 
-def withdrawal_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT) -> DataFrame:
+def withdrawal_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT, collapse: bool = True) -> DataFrame:
     """Withdrawals in one region at exactly the same time."""
     place = F.concat(F.col("region"), F.lit("@"), F.unix_micros(F.col("datetime").cast("timestamp")))
     return co_occurrence_edges(
-        tx.filter(F.col("transaction_type") == "withdrawal"), place, "withdrawal_shared", 2.0, 2, expand_limit
+        tx.filter(F.col("transaction_type") == "withdrawal"), place, "withdrawal_shared", 2.0, 2, expand_limit,
+        collapse=collapse,
     )
 
 
@@ -386,8 +394,8 @@ def last_writer_graph(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT) -
     edges = (
         sequential_edges(tx)
         .unionByName(raw_transfer_pairs(tx))
-        .unionByName(session_edges(tx, expand_limit).select(*columns))
-        .unionByName(withdrawal_edges(tx, expand_limit).select(*columns))
+        .unionByName(session_edges(tx, expand_limit, collapse=False).select(*columns))
+        .unionByName(withdrawal_edges(tx, expand_limit, collapse=False).select(*columns))
     )
     whole = F.col("relationship").endswith("_hub")
     return merge_last_writer(edges.filter(~whole)).unionByName(edges.filter(whole).select(*columns))

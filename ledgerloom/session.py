@@ -53,8 +53,17 @@ def scratch_root(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/ledgerloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once all results have been written."""
+    remove_path(spark, _own_folder(spark))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
