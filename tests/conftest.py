@@ -9,10 +9,12 @@ from ledgerloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
