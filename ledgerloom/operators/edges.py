@@ -182,16 +182,25 @@ class PairRule:
     max_rows: int | None = None
 
 
-def _rule_members(tx: DataFrame, rule: PairRule) -> DataFrame:
+def _sized_members(tx: DataFrame, rules: list[PairRule], nodes: DataFrame | None) -> DataFrame:
+    """(kind, hub, client_id, n_clients) of all rules in one scan, hubs over ``max_rows`` dropped."""
+    hubs = F.array(*[F.struct(F.lit(r.relationship).alias("kind"), F.col(r.key).alias("hub")) for r in rules])
     per_client = (
-        tx.filter(F.col(rule.key).isNotNull() & F.col("client_id").isNotNull())
-        .groupBy(F.lit(rule.relationship).alias("kind"), F.col(rule.key).alias("hub"), "client_id")
+        tx.filter(F.col("client_id").isNotNull())
+        .select("client_id", F.explode(hubs).alias("h"))
+        .filter(F.col("h.hub").isNotNull())
+        .groupBy(F.col("h.kind").alias("kind"), F.col("h.hub").alias("hub"), "client_id")
         .agg(F.count("*").alias("n_rows"))
     )
-    if rule.max_rows is None:
-        return per_client
-    small = per_client.groupBy("hub").agg(F.sum("n_rows").alias("n")).filter(F.col("n") < rule.max_rows)
-    return per_client.join(small.select("hub"), "hub", "left_semi").select("kind", "hub", "client_id", "n_rows")
+    limits = [F.when(F.col("kind") == r.relationship, F.col("rows") < r.max_rows) for r in rules if r.max_rows is not None]
+    few = F.coalesce(*limits, F.lit(True))
+    sizes = per_client.groupBy("kind", "hub").agg(F.sum("n_rows").alias("rows"), F.count("*").alias("n_clients"))
+    if nodes is None:
+        return per_client.join(sizes.filter(few & (F.col("n_clients") >= 2)).drop("rows"), ["kind", "hub"])
+    # Row limits look at all transactions, sizes only at the chosen clients.
+    chosen = per_client.join(nodes.select(F.col("id").alias("client_id")), "client_id", "left_semi")
+    chosen = chosen.join(sizes.filter(few).select("kind", "hub"), ["kind", "hub"], "left_semi")
+    return chosen.join(hub_sizes(chosen).filter("n_clients >= 2"), ["kind", "hub"])
 
 
 def distinct_pair_edges(
@@ -210,33 +219,25 @@ def distinct_pair_edges(
     share a pair row or a hub row. ``nodes`` (id) restricts both ends before pairs are
     built, which is how a top-N subgraph is drawn.
     """
-    branches = []
-    for rule in rules:
-        members = _rule_members(tx, rule)
-        if nodes is not None:
-            members = members.join(nodes.select(F.col("id").alias("client_id")), "client_id", "left_semi")
-        members = members.select("kind", "hub", "client_id")
-        pairs = expand_pairs(bounded_members(members, F.lit(expand_limit))).select("src", "dst").distinct()
-        branches.append(
-            pairs.select(
-                F.col("src").alias("source"), F.col("dst").alias("target"),
-                F.lit(rule.relationship).alias("relationship"), F.lit(rule.weight).alias("weight"),
-            )
-        )
-        branches.append(
-            oversized_members(members, expand_limit).select(
-                F.col("client_id").alias("source"), F.col("hub").alias("target"),
-                F.lit(f"{rule.relationship}_hub").alias("relationship"), F.lit(rule.weight).alias("weight"),
-            )
+    members = _sized_members(tx, rules, nodes)
+    weight = F.create_map(*[F.lit(x) for r in rules for x in (r.relationship, r.weight)])[F.col("kind")]
+    pairs = expand_pairs(members.filter(F.col("n_clients") <= expand_limit)).select("kind", "src", "dst").distinct()
+    out = pairs.select(
+        F.col("src").alias("source"), F.col("dst").alias("target"), F.col("kind").alias("relationship"),
+        weight.alias("weight"),
+    ).unionByName(
+        members.filter(F.col("n_clients") > expand_limit).select(
+            F.col("client_id").alias("source"), F.col("hub").alias("target"),
+            F.concat("kind", F.lit("_hub")).alias("relationship"), weight.alias("weight"),
         )
+    )
     if transfer_weight is not None:
         transfers = raw_transfer_pairs(tx, transfer_weight, recipient)
         if nodes is not None:
             transfers = induced(transfers, nodes)
-        branches.append(transfers.select(F.col("src").alias("source"), F.col("dst").alias("target"), "relationship", "weight"))
-    out = branches[0]
-    for branch in branches[1:]:
-        out = out.unionByName(branch)
+        out = out.unionByName(
+            transfers.select(F.col("src").alias("source"), F.col("dst").alias("target"), "relationship", "weight")
+        )
     return out
 
 

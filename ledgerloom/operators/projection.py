@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hub_key, hub_key_keep_null, ordered_pair
 from ..functions.times import floor_to
-from .edges import bounded_members, expand_pairs, oversized_members, prepare_transactions
+from ..session import cut
+from .edges import bounded_members, expand_pairs, hub_sizes, oversized_members, prepare_transactions
 
 DEFAULT_HUB_LIMIT = 1000
 
@@ -50,31 +51,39 @@ def incidence(tx: DataFrame) -> DataFrame:
     )
 
 
+HUBS_PER_LIST = 4096
+
+
 def project(links: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT) -> DataFrame:
     """(src, dst, shared, weight): clients that share a hub, weighted by log1p of the hubs shared.
 
     ``shared`` counts *all* common hubs. Pairs are found through hubs of up to ``hub_limit``
-    clients; the larger hubs (devices, regions, chains) are then added to each such pair by
-    a join. Clients that meet in large hubs only stay described by :func:`large_hubs`.
+    clients; what a pair shares among the larger hubs (devices, regions, chains) is then
+    looked up in each client's list of those. The lists are split by hash so that none holds
+    more than about ``HUBS_PER_LIST`` hubs. Clients that meet in large hubs only stay
+    described by :func:`large_hubs`.
     """
-    members = links.select("kind", "hub", "client_id")
+    members = cut(links.select("kind", "hub", "client_id"), "incidence")
     found = (
         expand_pairs(bounded_members(members, F.lit(hub_limit)))
         .groupBy("src", "dst")
         .agg(F.count("*").alias("small"))
     )
-    large = oversized_members(members, hub_limit).select("hub", "client_id")
-    common = (
-        found.join(large.select(F.col("client_id").alias("src"), "hub"), "src")
-        .join(large.select(F.col("client_id").alias("dst"), "hub"), ["dst", "hub"])
-        .groupBy("src", "dst")
-        .agg(F.count("*").alias("large"))
-    )
-    return (
-        found.join(common, ["src", "dst"], "left")
-        .withColumn("shared", F.col("small") + F.coalesce("large", F.lit(0)))
-        .select("src", "dst", "shared", F.log1p("shared").alias("weight"))
+    n_large = hub_sizes(members).filter(F.col("n_clients") > hub_limit).count()
+    lists = max(1, -(-n_large // HUBS_PER_LIST))
+    part = F.pmod(F.xxhash64("hub"), F.lit(lists)).alias("part")
+    large = oversized_members(members, hub_limit).groupBy("client_id", part).agg(F.collect_list("hub").alias("hubs"))
+    spread = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lists - 1).cast("long"))))
+    common = F.coalesce(F.size(F.array_intersect("a.hubs", "b.hubs")), F.lit(0)).cast("long")
+    counted = (
+        spread.join(large.alias("a"), (F.col("src") == F.col("a.client_id")) & (spread["part"] == F.col("a.part")), "left")
+        .join(large.alias("b"), (F.col("dst") == F.col("b.client_id")) & (spread["part"] == F.col("b.part")), "left")
+        .select("src", "dst", "small", common.alias("large"))
     )
+    if lists > 1:
+        counted = counted.groupBy("src", "dst").agg(F.first("small").alias("small"), F.sum("large").alias("large"))
+    shared = F.col("small") + F.col("large")
+    return counted.select("src", "dst", shared.alias("shared"), F.log1p(shared).alias("weight"))
 
 
 def large_hubs(links: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT) -> DataFrame:

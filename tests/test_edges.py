@@ -175,3 +175,11 @@ def test_merged_graph_cuts_single_hub_pairs(spark):
     got = {(r.src, r.dst): (round(r.weight, 6), r.layer, r.p2p_count) for r in pj.merged_graph(df).collect()}
     want = math.log1p(1) + math.log1p(2.0) + math.log1p(3.0)
     assert got == {("a", "b"): (round(want, 6), "shared", 2)}
+
+
+def test_projection_with_split_lists(spark, monkeypatch):
+    people = [f"c{i}" for i in range(6)]
+    rows = [dict(client_id=c, region="R", device_type="web", session_id="s1" if i < 3 else f"own{i}", merchant=f"m{i}") for i, c in enumerate(people)]
+    links = pj.incidence(frame(spark, rows))
+    monkeypatch.setattr(pj, "HUBS_PER_LIST", 1)
+    assert {(r.src, r.dst): r.shared for r in pj.project(links, 3).collect()} == {p: 4 for p in combinations(people[:3], 2)}
