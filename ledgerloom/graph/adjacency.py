@@ -22,8 +22,9 @@ MAX_HOT_VERTICES = 100_000
 @dataclass
 class Adjacency:
     links: DataFrame  # src, slice, dst, weight, n
+    sources: DataFrame  # id, n_links, n, weight: totals of the outgoing links
     hot: DataFrame | None  # id, slices: at most MAX_HOT_VERTICES rows
-    n_links: int
+    largest_n: int  # most parallel-counted links of one vertex
 
     def release(self) -> None:
         self.links.unpersist()
@@ -47,16 +48,20 @@ def adjacency(
         rows.groupBy("src", "dst").agg(F.sum("weight").alias("weight"), F.count("*").alias("n")), "links"
     )
     n_links = links.count()
-    limit = max(links_per_slice, n_links // MAX_HOT_VERTICES)
-    hot = cut(
-        links.groupBy(F.col("src").alias("id"))
-        .agg(F.ceil(F.count("*") / limit).cast("int").alias("slices"))
-        .filter(F.col("slices") > 1),
-        "hot",
+    sources = cut(
+        links.groupBy(F.col("src").alias("id")).agg(
+            F.count("*").alias("n_links"), F.sum("n").alias("n"), F.sum("weight").alias("weight")
+        ),
+        "sources",
     )
-    if hot.isEmpty():
-        hot, sliced = None, links.withColumn("slice", F.lit(0))
-    else:
+    most, largest_n = sources.agg(F.max("n_links"), F.max("n")).first()
+    limit = max(links_per_slice, n_links // MAX_HOT_VERTICES)
+    hot, sliced = None, links.withColumn("slice", F.lit(0))
+    if (most or 0) > limit:
+        hot = cut(
+            sources.filter(F.col("n_links") > limit).select("id", F.ceil(F.col("n_links") / limit).cast("int").alias("slices")),
+            "hot",
+        )
         sliced = (
             links.join(F.broadcast(hot.withColumnRenamed("id", "src")), "src", "left")
             .withColumn("slice", F.pmod(F.xxhash64("dst"), F.coalesce("slices", F.lit(1))).cast("int"))
@@ -65,7 +70,7 @@ def adjacency(
     kept = sliced.select("src", "slice", "dst", "weight", "n").repartition(
         partitions_for(n_links), "src", "slice"
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    return Adjacency(kept, hot, n_links)
+    return Adjacency(kept, sources, hot, largest_n or 0)
 
 
 def send(adj: Adjacency, state: DataFrame) -> DataFrame:

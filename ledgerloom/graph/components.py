@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from ..session import Rounds
 from .adjacency import adjacency, send
+from .ids import by_number
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+@by_number("id", "component")
+def connected_components(edges: DataFrame, max_rounds: int = 200, vertices: DataFrame | None = None) -> DataFrame:
     """(id, component): the smallest id of the component.
 
     A round takes the smallest label among neighbours, then replaces each label by the label
     of the vertex it names, which shortens long chains quickly. Runs until stable.
     """
-    adj = adjacency(edges.select("src", "dst", F.lit(1.0).alias("weight")))
+    adj = adjacency(edges)
     written = Rounds(edges.sparkSession, "components")
     labels = written.cut(
         adj.links.groupBy(F.col("src").alias("id")).agg(F.least(F.min("src"), F.min("dst")).alias("label"))

@@ -7,29 +7,32 @@ from pyspark.sql import functions as F
 
 from ..session import Rounds
 from .adjacency import adjacency, send
+from .ids import by_number
 
 
-def _round(adj, labels: DataFrame, self_vote: bool) -> DataFrame:
+def _round(adj, labels: DataFrame, self_vote: bool, packed: int | None) -> DataFrame:
     votes = send(adj, labels.select("id", "label")).select(F.col("dst").alias("id"), "label", F.col("n").alias("votes"))
     if self_vote:
         votes = votes.unionByName(labels.select("id", "label", F.lit(1).cast("long").alias("votes")))
     # Two map-side combined aggregations: no task ever holds all votes of one vertex.
-    return (
-        votes.groupBy("id", "label")
-        .agg(F.sum("votes").alias("votes"))
-        .groupBy("id")
-        .agg(F.min(F.struct(-F.col("votes"), "label")).alias("best"))
-        .select("id", F.col("best.label").alias("label"))
-    )
+    counted = votes.groupBy("id", "label").agg(F.sum("votes").alias("votes"))
+    if packed is None:
+        return counted.groupBy("id").agg(F.min(F.struct(-F.col("votes"), "label")).alias("best")).select(
+            "id", F.col("best.label").alias("label")
+        )
+    # Most votes first, then the smallest label, as one number that aggregates by hash.
+    best = F.max(F.col("votes") * packed + (packed - 1 - F.col("label"))).alias("best")
+    return counted.groupBy("id").agg(best).select("id", (packed - 1 - F.col("best") % packed).alias("label"))
 
 
+@by_number("id", "community_id")
 def label_propagation(
     edges: DataFrame,
     rounds: int = 10,
-    vertices: DataFrame | None = None,
     until_stable: bool = False,
     self_vote: bool = False,
     cut_every: int = 3,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """(id, community_id). Starts with every vertex as its own community.
 
@@ -40,9 +43,11 @@ def label_propagation(
     spark = edges.sparkSession
     adj = adjacency(edges)
     written = Rounds(spark, "labels", keep=2)
-    labels = adj.links.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id"))
+    labels = adj.sources.select("id", F.col("id").alias("label"))
+    size = adj.sources.agg(F.max("id")).first()[0] + 1
+    packed = size if (adj.largest_n + 2) * size < 2**63 else None
     for i in range(1, rounds + 1):
-        new = _round(adj, labels, self_vote)
+        new = _round(adj, labels, self_vote, packed)
         if until_stable:
             old = labels.withColumnRenamed("label", "old")
             checked = written.cut(new.join(old, "id").withColumn("changed", F.col("label") != F.col("old")))

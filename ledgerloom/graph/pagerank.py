@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..session import Rounds, cut
 from .adjacency import adjacency, send
+from .ids import by_number
 
 
+@by_number("id")
 def pagerank(edges: DataFrame, rounds: int = 20, reset: float = 0.15, cut_every: int = 5) -> DataFrame:
     """(id, influence_score) of the directed graph; the scores sum to the number of vertices.
 
@@ -18,9 +20,12 @@ def pagerank(edges: DataFrame, rounds: int = 20, reset: float = 0.15, cut_every:
     """
     spark = edges.sparkSession
     adj = adjacency(edges, directed=True)
-    out = cut(adj.links.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("out")), "out")
-    ends = adj.links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    nodes = cut(ends.join(out, "id", "left"), "nodes")
+    # Receivers without links of their own come in with a NULL total.
+    receivers = adj.links.select(F.col("dst").alias("id"), F.lit(None).cast("long").alias("out"))
+    nodes = cut(
+        adj.sources.select("id", F.col("n").alias("out")).unionByName(receivers).groupBy("id").agg(F.max("out").alias("out")),
+        "nodes",
+    )
     zero = nodes.select("id", F.lit(0.0).alias("m"), "out")
     written = Rounds(spark, "ranks")
     ranks = nodes.withColumn("rank", F.lit(1.0))
@@ -41,12 +46,13 @@ def pagerank(edges: DataFrame, rounds: int = 20, reset: float = 0.15, cut_every:
     return ranks.select("id", (F.col("rank") * scale).alias("influence_score"))
 
 
+@by_number("id")
 def pagerank_weighted(
     edges: DataFrame,
-    vertices: DataFrame | None = None,
     alpha: float = 0.85,
     tol: float = 1e-6,
     max_rounds: int = 100,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """(id, influence_score) of the undirected weighted graph; the scores sum to 1.
 
@@ -55,7 +61,7 @@ def pagerank_weighted(
     """
     spark = edges.sparkSession
     adj = adjacency(edges, loops_twice=False)
-    out = cut(adj.links.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("out")), "out")
+    out = adj.sources.select("id", F.col("weight").alias("out"))
     linked = out.count()
     lonely = vertices.join(out, "id", "left_anti").select("id") if vertices is not None else None
     n_lonely = lonely.count() if lonely is not None else 0

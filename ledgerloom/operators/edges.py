@@ -375,14 +375,18 @@ MERGE_ORDER = ["merchant_shared", "p2p", "session_shared", "withdrawal_shared"]
 
 
 def merge_last_writer(edges: DataFrame) -> DataFrame:
-    """One undirected edge per pair; the latest kind in merge order gives weight and relationship."""
+    """One undirected edge per pair; the latest kind in merge order gives weight and relationship.
+
+    All edges of a kind carry the same weight.
+    """
     a, b = ordered_pair(F.col("src"), F.col("dst"))
-    order = F.array_position(F.array(*[F.lit(k) for k in MERGE_ORDER]), F.col("relationship"))
+    kinds = F.array(*[F.lit(k) for k in MERGE_ORDER])
+    # Numbers instead of structs in the buffers keep this a hash aggregation.
     return (
-        edges.select(a.alias("src"), b.alias("dst"), order.alias("o"), "relationship", "weight")
+        edges.select(a.alias("src"), b.alias("dst"), F.array_position(kinds, F.col("relationship")).alias("o"), "weight")
         .groupBy("src", "dst")
-        .agg(F.max(F.struct("o", "relationship", "weight")).alias("last"))
-        .select("src", "dst", "last.relationship", "last.weight")
+        .agg(F.max_by("weight", "o").alias("weight"), F.max("o").alias("o"))
+        .select("src", "dst", F.element_at(kinds, F.col("o").cast("int")).alias("relationship"), "weight")
     )
 
 

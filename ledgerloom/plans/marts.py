@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..graph.degrees import vertex_metrics
+from ..graph.ids import number_vertices
 from ..graph.lpa import label_propagation
 from ..graph.pagerank import pagerank
 from ..graph.subgraph import community_sizes
@@ -22,16 +23,19 @@ def balance_mart(tx: DataFrame) -> DataFrame:
 def client_communities(edges: DataFrame, lpa_rounds: int = 10, pagerank_rounds: int = 20) -> DataFrame:
     """(client_id, community_id, influence_score, community_size, w_degree, degree) per vertex.
 
-    The edges are written once; every metric then reads only the columns it needs.
+    The edges are written once with numbered vertices; names return in the last step.
     """
     edges = cut(edges.select("src", "dst", "weight"), "edges")
+    numbering = number_vertices(edges)
+    edges = cut(numbering.number(edges, "src", "dst"), "numbered")
     communities = label_propagation(edges, lpa_rounds)
-    scores = pagerank(edges, pagerank_rounds)
-    return (
-        communities.join(scores, "id")
+    table = (
+        communities.join(pagerank(edges, pagerank_rounds), "id")
         .join(vertex_metrics(edges), "id")
         .join(community_sizes(communities), "community_id", "left")
-        .select(F.col("id").alias("client_id"), "community_id", "influence_score", "community_size", "w_degree", "degree")
+    )
+    return numbering.named(table, "id", "community_id").select(
+        F.col("id").alias("client_id"), "community_id", "influence_score", "community_size", "w_degree", "degree"
     )
 
 

@@ -5,7 +5,7 @@ import reference as ref
 from pyspark.sql import functions as F
 
 from ledgerloom.graph import adjacency as adj_mod
-from ledgerloom.graph import clustering, components, degrees, modularity, paths, subgraph
+from ledgerloom.graph import clustering, components, degrees, ids, lpa, modularity, paths, subgraph
 from ledgerloom.graph.adjacency import adjacency, send
 from ledgerloom.graph.louvain import louvain
 from ledgerloom.graph.lpa import label_propagation
@@ -49,7 +49,7 @@ def test_label_propagation_counts_parallel_edges(spark):
 
 def test_label_propagation_stable_and_isolated(spark):
     vertices = spark.createDataFrame([(v,) for v in ["hub", "s0", "s1", "s2", "s3", "s4", "s5", "alone"]], "id string")
-    got = as_dict(label_propagation(frame(spark, STAR), 20, vertices, until_stable=True, self_vote=True))
+    got = as_dict(label_propagation(frame(spark, STAR), 20, vertices=vertices, until_stable=True, self_vote=True))
     assert got["alone"] == "alone"
     assert len({got[v] for v in got if v != "alone"}) == 1
 
@@ -66,7 +66,7 @@ def test_pagerank(spark, name):
 def test_pagerank_weighted_with_isolated_vertices(spark):
     edges = GRAPHS["random"]
     nodes = sorted(ref.neighbours(edges)) + ["x1", "x2"]
-    got = as_dict(pagerank_weighted(frame(spark, edges), spark.createDataFrame([(v,) for v in nodes], "id string")))
+    got = as_dict(pagerank_weighted(frame(spark, edges), vertices=spark.createDataFrame([(v,) for v in nodes], "id string")))
     want = ref.pagerank_weighted(edges, ["x1", "x2"])
     assert got.keys() == want.keys()
     assert all(abs(got[v] - want[v]) < 1e-9 for v in want)
@@ -83,7 +83,7 @@ def test_components_of_a_long_chain_and_isolated(spark):
     chain = [(f"n{i:03d}", f"n{i + 1:03d}", 1.0) for i in range(120)]
     random.Random(1).shuffle(chain)
     nodes = spark.createDataFrame([("zz",)] + [(f"n{i:03d}",) for i in range(121)], "id string")
-    got = as_dict(components.connected_components(frame(spark, chain), nodes))
+    got = as_dict(components.connected_components(frame(spark, chain), vertices=nodes))
     assert got.pop("zz") == "zz" and set(got.values()) == {"n000"}
 
 
@@ -97,6 +97,23 @@ def test_hot_vertices_are_sliced_without_changing_results(spark):
     assert rows[0] == rows[1]
 
 
+def test_numbers_follow_the_names(spark, monkeypatch):
+    edges = frame(spark, GRAPHS["random"])
+    want = {v: i for i, v in enumerate(sorted(ref.neighbours(GRAPHS["random"])))}
+    assert {r.name: r.id for r in ids.number_vertices(edges).names.collect()} == want
+    # The same numbers from several ranges.
+    monkeypatch.setattr(ids, "ROWS_PER_PARTITION", 10)
+    monkeypatch.setattr(ids, "partitions_for", lambda n: 4)
+    assert {r.name: r.id for r in ids.number_vertices(edges).names.collect()} == want
+
+
+def test_votes_that_do_not_fit_one_number(spark, monkeypatch):
+    edges = GRAPHS["random"]
+    original = lpa._round
+    monkeypatch.setattr(lpa, "_round", lambda adj, labels, own, packed: original(adj, labels, own, None))
+    assert as_dict(label_propagation(frame(spark, edges), 4)) == ref.label_propagation(edges, 4)
+
+
 def test_algorithms_on_sliced_adjacency(spark, monkeypatch):
     edges = STAR + [("s0", "s1", 1.0), ("s4", "s5", 2.0)]
     original = adj_mod.adjacency
@@ -170,7 +187,7 @@ def test_diameter_with_few_sources_is_a_flagged_bound(spark):
 def test_hop_distances(spark):
     edges = GRAPHS["random"]
     sources = spark.createDataFrame([("v01",), ("v07",)], "id string")
-    got = {(r.source, r.id): r.dist for r in paths.hop_distances(frame(spark, edges), sources).collect()}
+    got = {(r.source, r.id): r.dist for r in paths.hop_distances(frame(spark, edges), sources=sources).collect()}
     adj = ref.neighbours(edges)
     assert got == {(s, v): d for s in ("v01", "v07") for v, d in ref.hops(adj, s).items()}
 
