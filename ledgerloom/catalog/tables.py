@@ -11,7 +11,7 @@ from ..schemas import CLIENTS, RATES, TRANSACTIONS_EVOLVED
 from ..session import cut, scratch_path
 from ..sources import readers, writers
 from .base import as_text, clients, masked_orders, query, rounded, second_text, tx_baskets, tx_events, tx_orders, views
-from .graphs import _METRICS, link_graph
+from .graphs import _METRICS, link_graph, pagerank_weighted_sql
 
 _ORDER_COLUMNS = "transaction_id, client_id, amount, merchant, region"
 
@@ -153,6 +153,17 @@ def q_graphml_edges(spark, sf):
     return readers.read_graphml_edges(spark, f"{_graphml(spark, sf)}/edges")
 
 
+@query("graphml_completed", f"""{views('links')}, {pagerank_weighted_sql('links', 12)}
+select id, id as community_id, round(r, 8) as influence_score from w12""")
+def q_graphml_completed(spark, sf):
+    """A graph file without scores, read back with the missing scores computed."""
+    path = _graphml(spark, sf)
+    nodes = cut(readers.read_graphml_nodes(spark, f"{path}/nodes"), "nodes")
+    edges = readers.read_graphml_edges(spark, f"{path}/edges")
+    full = reports.completed_nodes(nodes, edges, tol=0.0, max_rounds=12)
+    return rounded(full.select("id", "community_id", "influence_score"), 8, "influence_score")
+
+
 @query("mask_pipeline", f"""{views('masked_baskets')}
 select ip_network, recipient_id_hash, count(*) as n, round(sum(amount), 2) as amount from masked_baskets group by 1, 2""")
 def q_mask_pipeline(spark, sf):

@@ -78,12 +78,14 @@ def by_number(*id_columns: str):
             extra = {} if vertices is None else {"vertices": vertices}
             if is_numbered(edges):
                 return fn(edges, *args, **extra, **kwargs)
+            # Written first: the edges are read twice, and may be expensive to build.
+            edges = cut(edges.select("src", "dst", "weight"), "edges")
             numbering = number_vertices(edges, vertices)
             if vertices is not None:
                 extra = {"vertices": numbering.number(vertices.select("id"), "id")}
             if kwargs.get("sources") is not None:
                 kwargs["sources"] = numbering.number(kwargs["sources"].select("id"), "id")
-            numbered = numbering.number(edges.select("src", "dst", "weight"), "src", "dst")
+            numbered = numbering.number(edges, "src", "dst")
             return numbering.named(fn(numbered, *args, **extra, **kwargs), *id_columns)
 
         return run

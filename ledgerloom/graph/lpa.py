@@ -31,7 +31,7 @@ def label_propagation(
     rounds: int = 10,
     until_stable: bool = False,
     self_vote: bool = False,
-    cut_every: int = 3,
+    cut_every: int = 5,
     vertices: DataFrame | None = None,
 ) -> DataFrame:
     """(id, community_id). Starts with every vertex as its own community.

@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..graph.clustering import average_clustering
+from ..graph.components import connected_components, largest_component
+from ..graph.degrees import density
+from ..graph.louvain import louvain
+from ..graph.lpa import label_propagation
+from ..graph.modularity import modularity
+from ..graph.pagerank import pagerank_weighted
+from ..graph.paths import diameter
 from ..graph.subgraph import community_sizes, top_communities
 from ..operators.aggregates import dominant, group_counts, shares, value_counts
 from ..operators.edges import induced
+from ..session import cut
 
 
 def graph_statistics(table: DataFrame, edges: DataFrame, top: int = 100) -> DataFrame:
@@ -50,6 +59,43 @@ def graph_statistics(table: DataFrame, edges: DataFrame, top: int = 100) -> Data
     )
 
 
+def structure_report(edges: DataFrame) -> DataFrame:
+    """One row that describes an undirected weighted graph (src, dst, weight).
+
+    Size, density, mean degree and clustering, the diameter of the largest component, and
+    the modularity of both community searches.
+    """
+    edges = cut(edges.select("src", "dst", "weight"), "graph")
+    core = cut(largest_component(connected_components(edges)), "core")
+    return density(edges).withColumns(
+        {
+            "avg_clustering": average_clustering(edges).scalar(),
+            "diameter_lcc": diameter(induced(edges, core)).select("diameter").scalar(),
+            "modularity_louvain": modularity(edges, louvain(edges)).scalar(),
+            "modularity_lp": modularity(edges, label_propagation(edges, 20, until_stable=True)).scalar(),
+        }
+    )
+
+
+def completed_nodes(nodes: DataFrame, edges: DataFrame, **pagerank_options) -> DataFrame:
+    """Nodes read from a graph file, with missing communities and scores computed.
+
+    A stored value always wins. Either measure is only computed when some node lacks it.
+    Community ids that are numbers written with a fraction become whole numbers.
+    """
+    edges = edges.select(F.col("source").alias("src"), F.col("target").alias("dst"), F.coalesce("weight", F.lit(1.0)).alias("weight"))
+    whole = F.col("community_id").try_cast("double").cast("long").cast("string")
+    nodes = nodes.withColumn("community_id", F.coalesce(whole, "community_id"))
+    if not nodes.filter(F.col("community_id").isNull()).isEmpty():
+        found = louvain(edges).withColumnRenamed("community_id", "_found")
+        nodes = nodes.join(found, "id", "left").withColumn("community_id", F.coalesce("community_id", "_found", "id")).drop("_found")
+    if not nodes.filter(F.col("influence_score").isNull()).isEmpty():
+        scores = pagerank_weighted(edges, vertices=nodes.select("id"), **pagerank_options)
+        scores = scores.withColumnRenamed("influence_score", "_found")
+        nodes = nodes.join(scores, "id", "left").withColumn("influence_score", F.coalesce("influence_score", "_found")).drop("_found")
+    return nodes
+
+
 # Texts of the recommendation report.
 SUMMARY = "Сообщество #%s: %s клиентов, средняя транзакция $%s, тип: %s\n"
 P2P_TEXT = (

@@ -114,6 +114,25 @@ def test_graphml_round_trip_and_old_keys(spark, tmp_path):
     assert got["n1"].community_id == "61.0" and got["n2"].influence_score == 0.5 and got["n3"].community_id is None
 
 
+def test_stored_attributes_win_over_computed_ones(spark):
+    nodes = spark.createDataFrame(
+        [("a", "61.0", 0.9), ("b", None, None), ("c", "x", None)], "id string, community_id string, influence_score double")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", None)], "source string, target string, weight double")
+    got = {r.id: r for r in reports.completed_nodes(nodes, edges).collect()}
+    assert got["a"].community_id == "61" and got["a"].influence_score == 0.9
+    assert got["c"].community_id == "x" and got["b"].community_id is not None
+    assert got["b"].influence_score > got["c"].influence_score > 0
+
+
+def test_structure_report(spark):
+    edges = spark.createDataFrame(
+        [("a", "b", 1.0), ("b", "c", 1.0), ("a", "c", 1.0), ("c", "d", 1.0), ("x", "y", 1.0)], "src string, dst string, weight double")
+    row = reports.structure_report(edges).first()
+    assert (row.nodes, row.edges, row.diameter_lcc) == (6, 5, 2)
+    assert row.avg_clustering == pytest.approx((1 + 1 + 1 / 3) / 6)
+    assert -0.5 <= row.modularity_lp <= 1 and row.modularity_louvain > 0
+
+
 def test_graph_fact_merge_refreshes_features_only(spark):
     tx = spark.createDataFrame(
         [("t1", "c1", None, 1.0, "USD", None, "p2p", None, "p2p"), ("t2", "c9", None, 2.0, "USD", None, "p2p", None, "p2p")],
