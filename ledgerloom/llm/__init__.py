@@ -1,4 +1,4 @@
 """Operators for large training-data corpora and their registered queries."""
 
-from . import decontaminate, host_rules, jaccard_join, packing, repeats, sharding, toxicity  # noqa: F401
+from . import decontaminate, host_rules, jaccard_join, maxent, packing, repeats, sharding, toxicity  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401

@@ -39,21 +39,21 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _segment_codes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_codes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = ~_SPACE[data]
     edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
     first, past = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(first):
-        return np.empty(0, np.uint64), first
+        return np.empty(0, np.uint64), first, past
     up, down = _power(len(data) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:len(data)], dtype=np.uint64)))
     sums = (total[past] - total[first]) * down[first]
-    return mix(sums + (past - first).astype(np.uint64)), first
+    return mix(sums + (past - first).astype(np.uint64)), first, past
 
 
-def word_codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the white-space words of folded bytes, and the byte where each begins."""
-    codes, starts, at = [], [], 0
+def word_codes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the white-space words of folded bytes, and the bytes where each begins and ends."""
+    codes, starts, ends, at = [], [], [], 0
     while at < len(data):
         end = min(len(data), at + SEGMENT)
         if end < len(data):
@@ -62,13 +62,14 @@ def word_codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
                 nexts = [p for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (p := data.find(c, end)) >= 0]
                 cut = min(nexts, default=len(data))
             end = cut
-        c, s = _segment_codes(np.frombuffer(data, np.uint8, end - at, at))
+        c, first, past = _segment_codes(np.frombuffer(data, np.uint8, end - at, at))
         codes.append(c)
-        starts.append(s + at)
+        starts.append(first + at)
+        ends.append(past + at)
         at = max(end, at + 1)
     if not codes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(codes), np.concatenate(starts)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(codes), np.concatenate(starts), np.concatenate(ends)
 
 
 def combine(words: np.ndarray, n: int) -> np.ndarray:
@@ -86,7 +87,7 @@ def shingle_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
     A text of fewer words is one shingle of all its words; one without words has none.
     """
     folded = [(t or "").encode().lower() for t in texts]
-    codes, starts = word_codes(b"\n".join(folded))
+    codes, starts, _ = word_codes(b"\n".join(folded))
     edges = np.cumsum([0] + [len(f) + 1 for f in folded])
     words = np.searchsorted(starts, edges)
     runs = combine(codes, n)
