@@ -31,7 +31,7 @@ MAX_TERMS = 100_000
 # Names and the notices by which texts declare them.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+    "BSD-3-Clause": "BSD 3-Clause License: redistributions must retain the above copyright notice and disclaimer.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
