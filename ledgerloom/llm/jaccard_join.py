@@ -26,12 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..graph.components import connected_components
 from ..session import cut
-from .common import query, row_code, table, texts
+from .common import WHITE, free_name, keep_rows, query, row_code, table, texts
 from .shingles import mix, shingle_sets, slices
 
 SHINGLE = 4
@@ -479,6 +479,31 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     )
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, then the smallest row code. Columns stay.
+
+    Rows without shingles all stay. Of rows that agree in id and text, one stays; which of them is
+    not defined.
+    """
+    found = components(docs, shingle, percent, id_col, text_col).filter("n_shingles > 0")
+    # The kept row of a component: among rows with its id, the smallest code. A null id is kept only where no row has one.
+    own = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = own.groupBy(F.col("component_id").alias("kept_id")).agg(F.min("row").alias("kept_row"), F.count("*").alias("times"))
+    kept = cut(kept, "kept")
+    judged = found.join(kept, F.col("component_id").eqNullSafe(F.col("kept_id")), "left")
+    is_kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row"))
+    gone = judged.filter(~is_kept).select("doc_id", F.col("row").alias("code")).distinct()
+    left = keep_rows(docs, gone, id_col, text_col)
+    if kept.filter("times > 1").isEmpty():
+        return left
+    # Some kept rows may be there more than once, with equal id and text.
+    number, code = free_name(left, "_number"), free_name(left, "_code")
+    numbered = left.withColumn(code, row_code(id_col, text_col))
+    one = F.row_number().over(Window.partitionBy(F.col(f"`{id_col}`"), code).orderBy(F.lit(0)))
+    blank = F.coalesce(F.length(F.regexp_replace(F.col(f"`{text_col}`"), WHITE, "")), F.lit(0)) == 0
+    return numbered.withColumn(number, one).filter((F.col(number) == 1) | blank).drop(number, code)
+
+
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark, sf):
     return components(table(spark, sf, "documents")).drop("row")
