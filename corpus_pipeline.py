@@ -7,18 +7,47 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate
+from ledgerloom.llm import decontaminate, jaccard_join, packing, repeats, toxicity
 from ledgerloom.llm.common import table
 from ledgerloom.session import cut, prepare
 
+SHINGLE, PERCENT = 5, 80  # near copies: five words, a similarity of 0.8 or more
+
+
+def _toxicity(spark, docs, sf_dir):
+    """Documents that don't score as toxic."""
+    return toxicity.without_toxic(docs, table(prepare(spark), sf_dir, "labels"))
+
+
+def _near_copies(spark, docs, sf_dir):
+    """One document of each group of near copies: that with the smallest id."""
+    prepare(spark)
+    return jaccard_join.one_of_each(docs, SHINGLE, PERCENT)
+
+
+def _repeats(spark, docs, sf_dir):
+    """All documents; of a passage that occurs again, the first copy stays."""
+    prepare(spark)
+    return repeats.dedup(docs)
+
 
 def _decontaminate(spark, docs, sf_dir):
     """Documents without the contaminated ones."""
     return decontaminate.decontaminate(docs, table(prepare(spark), sf_dir, "benchmark"))
 
 
+def _pack(spark, docs, sf_dir):
+    """The pieces of all documents and their places in sequences."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("toxicity", _toxicity),
+    ("jaccard_join", _near_copies),
+    ("suffix_repeats", _repeats),
     ("decontamination", _decontaminate),
+    ("packing", _pack),
 ]
 
 
