@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,12 +19,26 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WHITE = r"[\x20\x09-\x0D]+"  # separators of the white-space words
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Required settings, and this package on the workers' path: Spark serves it from the driver."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_ledgerloom_shipped", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="ledgerloom-")) / "ledgerloom.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        sc._ledgerloom_shipped = True
+    return prepare(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a function (spark, sf_dir) -> DataFrame under ``name``."""
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(ready(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
