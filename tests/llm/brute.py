@@ -68,3 +68,41 @@ def repeated_bytes(rows, match=200, keep="none"):
         spans = sum(x == 1 and (k == 0 or g[k - 1] == 0) for k, x in enumerate(g))
         out.append((d, len(b), bytes(x for x, y in zip(b, g) if not y), spans))
     return out
+
+
+FOLDED_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(rows, items, window=13):
+    """[(doc_id, text)] and [(item_id, text)] -> [(doc_id, words, hit words, sorted ids of items found)]."""
+    known = defaultdict(set)
+    for i, t in items:
+        w = FOLDED_WORD.findall(fold(t))
+        n = min(len(w), window)
+        for k in range(len(w) - n + 1 if w else 0):
+            known[tuple(w[k:k + n])].add(i)
+    widths = {len(k) for k in known}
+    out = []
+    for d, t in rows:
+        w = FOLDED_WORD.findall(fold(t))
+        hit, found = set(), set()
+        for n in widths:
+            for k in range(len(w) - n + 1):
+                ids = known.get(tuple(w[k:k + n]))
+                if ids:
+                    hit.update(range(k, k + n))
+                    found |= ids
+        out.append((d, len(w), len(hit), sorted(str(i) for i in found if i is not None)))
+    return out
+
+
+def text_rules(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    text = text or ""
+    w = white_words(text)
+    lines = [x for x in text.split("\n") if white_words(x)]
+    where = defaultdict(list)
+    for k in range(len(w) - 2):
+        where[tuple(w[k:k + 3])].append(k)
+    repeated = {p for ks in where.values() if len(ks) > 1 for k in ks for p in range(k, k + 3)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated)
