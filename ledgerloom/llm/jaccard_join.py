@@ -13,7 +13,8 @@ that agree in one block of one size class; every block in which two sets differ
    different components meet. A set that was compared with a leader derives its answers from
    the leader's: it differs from a third set by at least the leader's sketch distance to it less
    its own distance to the leader. Only pairs which that bound leaves open get their sketches
-   compared, and their sets after that.
+   compared, and their sets after that: first the nearest of each component, then all that
+   still reach over two components.
 
 Nothing is capped: a list of any length is read, and no pair that could be linked is left out.
 """
@@ -97,8 +98,8 @@ def index_keys(codes: np.ndarray, link: Link, bounds: np.ndarray) -> list[np.nda
 
 
 def sketch(codes: np.ndarray) -> bytes:
-    """Parity of the codes in each of as many cells as the set has members (a power of two, 64 at least)."""
-    cells = max(64, 1 << (len(codes) - 1).bit_length())
+    """Parity of the codes in each of two to four times as many cells as the set has members (a power of two)."""
+    cells = max(64, 2 << (len(codes) - 1).bit_length())
     return np.packbits(np.bincount((mix(codes) & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint8) & 1,
                        bitorder="little").tobytes()
 
@@ -299,15 +300,15 @@ def _compare(link: Link):
     return run
 
 
-def _list_pairs(t: dict[str, np.ndarray], bits: list[bytes], link: Link) -> tuple[np.ndarray, np.ndarray]:
-    """Open pairs of one list of any length, row by row of all components but the largest."""
+def _list_pairs(t: dict[str, np.ndarray], bits: list[bytes], link: Link) -> np.ndarray:
+    """Open pairs of one list of any length as (row, row, distance), row by row of all components but the largest."""
     sets, comp, n = t["set"], t["comp"], t["n"]
     names, where, count = np.unique(comp, return_inverse=True, return_counts=True)
     largest = int(np.argmax(count))
     position = {int(s): i for i, s in enumerate(sets)}
     lead = np.array([position.get(int(x), -1) for x in t["lead"]], np.int64)  # -1: the leader isn't in this list
     head = lead < 0
-    out_a, out_b = [], []
+    out = [np.empty((3, 0), np.int64)]
     for i in np.flatnonzero(where != largest):
         others = np.flatnonzero(((where == largest) | (where > where[i])) & (where != where[i]) & _may_link(link, n, n[i]))
         if not len(others):
@@ -320,21 +321,32 @@ def _list_pairs(t: dict[str, np.ndarray], bits: list[bytes], link: Link) -> tupl
         close = heads[to_head[heads] <= allowed[heads]]
         rest = others[~head[others]]
         rest = rest[to_head[lead[rest]] - t["differ"][rest] <= allowed[rest]]  # derived from the leader's answer
-        if len(rest):
-            rest = rest[distances(bits[i], [bits[j] for j in rest]) <= allowed[rest]]
-        found = np.concatenate((close, rest))
-        out_a.append(np.full(len(found), sets[i]))
-        out_b.append(sets[found])
-    if not out_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(out_a), np.concatenate(out_b)
+        to_rest = distances(bits[i], [bits[j] for j in rest])
+        ok = to_rest <= allowed[rest]
+        found, apart = np.concatenate((close, rest[ok])), np.concatenate((to_head[close], to_rest[ok]))
+        out.append(np.stack((np.full(len(found), i), found, apart)))
+    return np.concatenate(out, axis=1)
 
 
 SHORT = 32  # lists up to here are paired by offset, many lists at once
 
 
-def _open_pairs(link: Link):
-    """From members in order of key: pairs of different components whose sketches don't rule out a link."""
+def _nearest(pairs: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Of the pairs (row, row, distance), one for each component: its nearest."""
+    a, b, apart = pairs
+    ends = np.concatenate((comp[a], comp[b]))
+    which = np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((which, apart[which], ends))
+    first = np.concatenate(([True], ends[order][1:] != ends[order][:-1]))
+    return pairs[:, np.unique(which[order[first]])]
+
+
+def _open_pairs(link: Link, nearest: bool):
+    """From members in order of key: pairs of different components whose sketches don't rule out a link.
+
+    With ``nearest``, one for each component of a batch; most links that join components are among
+    them, and a later call without it finds the others.
+    """
 
     def pairs(t: pa.Table) -> pa.RecordBatch:
         c = {k: t.column(k).to_numpy() for k in ("key", "set", "comp", "n", "lead", "differ")}
@@ -342,20 +354,20 @@ def _open_pairs(link: Link):
         start = np.flatnonzero(np.concatenate(([True], c["key"][1:] != c["key"][:-1])))
         size = np.diff(np.append(start, len(c["key"])))
         short = np.repeat(size <= SHORT, size)
-        found_a, found_b = [], []
+        found = [np.empty((3, 0), np.int64)]
         for d in range(1, min(int(size.max()), SHORT)):
             i = np.flatnonzero(short[:-d] & (c["key"][d:] == c["key"][:-d]) & (c["comp"][d:] != c["comp"][:-d]))
             i = i[_may_link(link, c["n"][i], c["n"][i + d])]
-            if len(i):
-                near = _pair_distances([bits[k] for k in i], [bits[k + d] for k in i]) <= link.differ(c["n"][i] + c["n"][i + d])
-                found_a.append(c["set"][i[near]])
-                found_b.append(c["set"][i[near] + d])
+            apart = _pair_distances([bits[k] for k in i], [bits[k + d] for k in i])
+            near = apart <= link.differ(c["n"][i] + c["n"][i + d])
+            found.append(np.stack((i[near], i[near] + d, apart[near])))
         for s, k in zip(start[size > SHORT], size[size > SHORT]):
-            a, b = _list_pairs({x: v[s:s + k] for x, v in c.items()}, bits[s:s + k], link)
-            found_a.append(a)
-            found_b.append(b)
-        both = np.sort(np.stack((np.concatenate(found_a), np.concatenate(found_b))), axis=0) if found_a else np.empty((2, 0), np.int64)
-        both = np.unique(both, axis=1)
+            inside = _list_pairs({x: v[s:s + k] for x, v in c.items()}, bits[s:s + k], link)
+            found.append(inside + np.array([[s], [s], [0]]))
+        rows = np.concatenate(found, axis=1)
+        if nearest and rows.shape[1]:
+            rows = _nearest(rows, c["comp"])
+        both = np.unique(np.sort(c["set"][rows[:2]], axis=0), axis=1)
         return pa.RecordBatch.from_pydict({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,7 +442,7 @@ class Join:
         found = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1.0).alias("weight")))
         return found.select(F.col("id").alias("set"), F.col("component").alias("comp"))
 
-    def open_pairs(self, lists: DataFrame, comps: DataFrame, links: DataFrame) -> DataFrame:
+    def open_pairs(self, lists: DataFrame, comps: DataFrame, links: DataFrame, nearest: bool) -> DataFrame:
         members = lists.filter("a = b").select("key", F.col("a").alias("set")).distinct()
         named = members.join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
         still_open = (
@@ -448,7 +460,7 @@ class Join:
         rows = rows.withColumn("lead", F.when(F.col("lead") == F.col("set"), F.lit(None).cast("long")).otherwise(F.col("lead")))
         rows = rows.withColumn("lead", F.coalesce("lead", F.lit(0)))
         dealt = rows.repartition("key").sortWithinPartitions("key", "comp", "set")
-        return dealt.mapInArrow(_open_pairs(self.link), "a long, b long").distinct()
+        return dealt.mapInArrow(_open_pairs(self.link, nearest), "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         """(doc_id, row, n, component): each row of the table, and the smallest id that links reach from it."""
@@ -456,9 +468,11 @@ class Join:
         leaders = lists.filter("a < b").select("a", "b").distinct()
         links = self.compared(self.near(leaders), "leaders")
         comps = cut(self.components(links), "first")
-        more = self.compared(self.open_pairs(lists, comps, links), "open")
-        if not more.isEmpty():
-            comps = cut(self.components(links.unionByName(more)), "second")
+        for step, nearest in (("near", True), ("nearer", True), ("open", False)):
+            more = self.compared(self.open_pairs(lists, comps, links, nearest), step)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                comps = cut(self.components(links), f"{step}-components")
         named = self.sketches.join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
         smallest = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component"))
         return named.join(smallest, "comp", "left").select(
