@@ -106,20 +106,26 @@ def q_vertices(spark, sf):
 
 # --- distinct pairs ----------------------------------------------------------------------------
 
-LIMIT = ed.DEFAULT_EXPAND_LIMIT
+def _members(source, key, max_rows=None):
+    keep = f"and {key} in (select {key} from {source} group by 1 having count(*) < {max_rows})" if max_rows else ""
+    return f"(select distinct {key} as hub, client_id from {source} where {key} is not null {keep})"
 
 
-def _branch(source, key, relationship, weight, max_rows=None, min_clients=1):
-    """SQL of one distinct-pair branch: pairs of hubs up to the limit, rows of larger ones."""
-    keep = f"and {key} in (select {key} from {source} group by 1 having count(*) < {max_rows})" if max_rows else ""
-    m = f"(select distinct {key} as hub, client_id from {source} where {key} is not null {keep})"
-    size = f"(select hub, count(*) as n from {m} group by 1)"
+def _branch(source, key, relationship, weight, max_rows=None):
+    """SQL of one branch in hub form: each client of each hub that two or more clients share."""
+    m = _members(source, key, max_rows)
+    return (
+        f"select client_id as source, hub as target, '{relationship}_hub' as relationship, cast({weight} as double) as weight "
+        f"from {m} where hub in (select hub from {m} group by 1 having count(*) >= 2)"
+    )
+
+
+def _pair_branch(source, key, relationship, weight, max_rows=None):
+    """SQL of one branch as distinct pairs."""
+    m = _members(source, key, max_rows)
     return (
         f"select distinct a.client_id as source, b.client_id as target, '{relationship}' as relationship, "
-        f"cast({weight} as double) as weight from {m} a join {m} b on a.hub = b.hub and a.client_id < b.client_id "
-        f"join {size} s on s.hub = a.hub where s.n <= {LIMIT} "
-        f"union all select client_id, m.hub, '{relationship}_hub', cast({weight} as double) from {m} m "
-        f"join {size} s on s.hub = m.hub where s.n > {LIMIT}"
+        f"cast({weight} as double) as weight from {m} a join {m} b on a.hub = b.hub and a.client_id < b.client_id"
     )
 
 
@@ -137,6 +143,11 @@ def _variant(source, *branches):
 B = "masked_baskets"
 
 
+def most_active(tx, n):
+    """The ids of the ``n`` clients with the most transactions."""
+    return top_nodes(tx.groupBy(F.col("client_id").alias("id")).agg(F.count("*").alias("n")), n, "n")
+
+
 @query("edges_sql_variant", _variant(B, _branch(B, "ip_network", "ip_shared", 1.0), _branch(B, "merchant", "merchant_shared", 0.5)))
 def q_variant(spark, sf):
     return ed.distinct_pair_edges(masked_baskets(spark, sf), ed.network_and_merchant())
@@ -168,31 +179,30 @@ def q_no_ip(spark, sf):
 
 @query("edges_large_hubs", _variant("masked", _branch("masked", "ip_network", "ip_shared", 1.0), _branch("masked", "merchant", "merchant_shared", 0.5)))
 def q_large_hubs(spark, sf):
-    """Chains with more clients than the limit stay whole as client-to-hub rows."""
+    """Chains whose pairs could not be listed: client-to-hub rows hold the same links."""
     return ed.distinct_pair_edges(masked_orders(spark, sf), ed.network_and_merchant())
 
 
 @query("edge_diagnostics", f"""{views(B)}, e as materialized ({' union all '.join(_REWEIGHTED)}),
-ends as (select relationship, source as node from e union select relationship, target from e)
-select relationship, (select count(*) from e where e.relationship = ends.relationship) as n_edges, count(*) as n_clients
-from ends group by 1""")
+h as (select relationship, target, count(*) as n from e where ends_with(relationship, '_hub') group by 1, 2),
+c as (select relationship, source as client from e union select relationship, target from e where not ends_with(relationship, '_hub'))
+select r as relationship, (select count(*) from e where relationship = r) as n_edges, (select count(*) from c where relationship = r) as n_clients,
+  (select count(*) from h where relationship = r) as n_hubs,
+  cast(case when ends_with(r, '_hub') then (select sum(n * (n - 1) // 2) from h where relationship = r)
+            else (select count(*) from e where relationship = r) end as bigint) as n_pairs
+from (select distinct relationship as r from e)""")
 def q_diagnostics(spark, sf):
     return ed.edge_diagnostics(reweighted(spark, sf))
 
 
 @query("edges_top_clients", f"""{views(B)},
 top as materialized (select client_id, count(*) as n from {B} group by 1 order by n desc, client_id limit 100),
-e as materialized ({_branch(B, 'ip_network', 'ip_shared', 1.0)} union all {_branch(B, 'merchant', 'merchant_shared', 0.5)}),
-m as (select distinct '10.0.0.0/24' as hub, client_id from {B} where ip_network = '10.0.0.0/24' and client_id in (select client_id from top))
-select distinct source, target, relationship, weight from (
-select * from e where relationship in ('ip_shared', 'merchant_shared')
-  and source in (select client_id from top) and target in (select client_id from top)
-union all select a.client_id, b.client_id, 'ip_shared', 1.0 from m a join m b on a.client_id < b.client_id)""")
+few as materialized (select * from {B} where client_id in (select client_id from top))
+{_pair_branch('few', 'ip_network', 'ip_shared', 1.0)} union all {_pair_branch('few', 'merchant', 'merchant_shared', 0.5)}""")
 def q_top_clients(spark, sf):
     """Pairs among the 100 most active clients; both ends are restricted before pairs are built."""
     tx = masked_baskets(spark, sf)
-    active = top_nodes(tx.groupBy(F.col("client_id").alias("id")).agg(F.count("*").alias("n")), 100, "n")
-    return ed.distinct_pair_edges(tx, ed.network_and_merchant(), nodes=active)
+    return ed.distinct_pair_edges(tx, ed.network_and_merchant(), nodes=most_active(tx, 100))
 
 
 # --- edges in time order and last-writer merge ---------------------------------------------------
@@ -206,25 +216,31 @@ _RAW_P2P = """select distinct client_id as src, recipient_id as dst, 'p2p' as re
 from {t} where transaction_type = 'p2p' and client_id < recipient_id"""
 
 
-def _rows_sql(source, key, relationship, weight, min_rows):
+def _hub_rows_sql(source, key, relationship, weight, min_rows):
+    """SQL of row counts by hub and client, of hubs with enough rows."""
     c = f"(select {key} as hub, client_id, count(*) as n from {source} where ({key}) is not null group by 1, 2)"
-    s = f"(select hub, sum(n) as hub_rows, count(*) as k from {c} group by 1 having sum(n) >= {min_rows})"
-    w = f"'{relationship}' as relationship, cast({weight} as double) as weight"
     return (
-        f"select src, dst, {w}, cast(sum(m) as bigint) as multiplicity from ("
-        f"select a.client_id as src, b.client_id as dst, a.n * b.n as m from {c} a join {c} b on a.hub = b.hub and a.client_id < b.client_id "
-        f"join {s} s on s.hub = a.hub where k <= {LIMIT} "
-        f"union all select a.client_id, a.client_id, a.n * (a.n - 1) // 2 from {c} a join {s} s on s.hub = a.hub where k <= {LIMIT} and a.n > 1"
-        f") group by 1, 2 union all select client_id, a.hub, '{relationship}_hub', cast({weight} as double), a.n from {c} a "
-        f"join {s} s on s.hub = a.hub where k > {LIMIT}"
+        f"select client_id as src, hub as dst, '{relationship}_hub' as relationship, cast({weight} as double) as weight, n as multiplicity "
+        f"from {c} where hub in (select hub from {c} group by 1 having sum(n) >= {min_rows})"
     )
 
 
-_SESSION = _rows_sql("tx_orders", "session_id", "session_shared", 0.5, 6)
-_WITHDRAWAL = _rows_sql(
+def _row_pairs_sql(source, key, relationship, weight, min_rows):
+    """SQL of all pairs of rows in a hub: the definition, one pair of rows after the other."""
+    r = f"(select {key} as hub, client_id, transaction_id from {source} where ({key}) is not null)"
+    return (
+        f"select least(a.client_id, b.client_id) as src, greatest(a.client_id, b.client_id) as dst, '{relationship}' as relationship, "
+        f"cast({weight} as double) as weight, count(*) as multiplicity from {r} a join {r} b on a.hub = b.hub and a.transaction_id < b.transaction_id "
+        f"where a.hub in (select hub from {r} group by 1 having count(*) >= {min_rows}) group by 1, 2"
+    )
+
+
+_SESSION_OF = ("tx_orders", "session_id", "session_shared", 0.5, 6)
+_WITHDRAWAL_OF = (
     "(select * from tx_orders where transaction_type = 'withdrawal')",
     "region || '@' || epoch_us(datetime)", "withdrawal_shared", 2.0, 2,
 )
+_SESSION, _WITHDRAWAL = _row_pairs_sql(*_SESSION_OF), _row_pairs_sql(*_WITHDRAWAL_OF)
 
 
 @query("edges_sequential", f"{views('tx_orders')} {_SEQUENTIAL.format(t='tx_orders')}")
@@ -237,12 +253,17 @@ def q_raw(spark, sf):
     return ed.raw_transfer_pairs(tx_orders(spark, sf))
 
 
-@query("edges_session_rows", f"{views('tx_orders')} {_SESSION}")
+@query("edges_session_rows", f"{views('tx_orders')} {_hub_rows_sql(*_SESSION_OF)}")
 def q_session_rows(spark, sf):
     return ed.session_edges(tx_orders(spark, sf))
 
 
-@query("edges_withdrawal_rows", f"{views('tx_orders')} {_WITHDRAWAL}")
+@query("edges_withdrawal_pairs", f"{views('tx_orders')} {_WITHDRAWAL}")
+def q_withdrawal_pairs(spark, sf):
+    return ed.withdrawal_edges(tx_orders(spark, sf), pairs=True)
+
+
+@query("edges_withdrawal_rows", f"{views('tx_orders')} {_hub_rows_sql(*_WITHDRAWAL_OF)}")
 def q_withdrawal_rows(spark, sf):
     return ed.withdrawal_edges(tx_orders(spark, sf))
 
@@ -253,8 +274,7 @@ VIEWS["lastwriter"] = f"""with e as (
   union all select src, dst, relationship, weight, 3 from ({_SESSION})
   union all select src, dst, relationship, weight, 4 from ({_WITHDRAWAL}))
 select least(src, dst) as src, greatest(src, dst) as dst, max_by(relationship, o) as relationship, max_by(weight, o) as weight
-from e where relationship not like '%\\_hub' escape '\\' group by 1, 2
-union all select src, dst, relationship, weight from e where relationship like '%\\_hub' escape '\\'"""
+from e group by 1, 2"""
 NEEDS["lastwriter"] = ["tx_orders"]
 
 
@@ -280,19 +300,19 @@ select client_id, hub, kind, cast(max(w) as double) as weight from i where hub i
 NEEDS["incidence"] = ["tx_orders"]
 VIEWS["hub_count"] = "select hub, count(*) as n_clients from incidence group by 1"
 NEEDS["hub_count"] = ["incidence"]
-HUB_LIMIT = 100
-VIEWS["projected"] = f"""with found as (
-  select distinct a.client_id as src, b.client_id as dst from incidence a join incidence b on a.hub = b.hub and a.client_id < b.client_id
-  join hub_count h on h.hub = a.hub where n_clients <= {HUB_LIMIT}),
-shared as (select a.client_id as src, b.client_id as dst, count(*) as shared from incidence a
-  join incidence b on a.hub = b.hub and a.client_id < b.client_id group by 1, 2)
-select src, dst, shared, ln(1 + shared) as weight from shared semi join found using (src, dst)"""
-NEEDS["projected"] = ["hub_count"]
+HUB_REPORT = 100  # clients above which the report lists a hub
+TOP = 300  # clients between which pairs are listed
+VIEWS["top"] = f"select client_id from tx_orders group by 1 order by count(*) desc, client_id limit {TOP}"
+NEEDS["top"] = ["tx_orders"]
+VIEWS["projected"] = """select a.client_id as src, b.client_id as dst, count(*) as shared, ln(1 + count(*)) as weight from incidence a
+  join incidence b on a.hub = b.hub and a.client_id < b.client_id
+  where a.client_id in (select client_id from top) and b.client_id in (select client_id from top) group by 1, 2"""
+NEEDS["projected"] = ["incidence", "top"]
 VIEWS["collapsed"] = """select client_id as src, recipient_id as dst, arg_max(amount, row(datetime, transaction_id)) as amount,
 max(datetime) as datetime from tx_orders where transaction_type = 'p2p' and recipient_id is not null group by 1, 2"""
 NEEDS["collapsed"] = ["tx_orders"]
 VIEWS["merged"] = """with t as (select least(src, dst) as src, greatest(src, dst) as dst, sum(ln(1 + amount)) as w, count(*) as c
-  from collapsed group by 1, 2)
+  from collapsed where src in (select client_id from top) and dst in (select client_id from top) group by 1, 2)
 select coalesce(p.src, t.src) as src, coalesce(p.dst, t.dst) as dst, coalesce(p.weight, 0) + coalesce(t.w, 0) as weight,
   case when p.src is null then 'p2p' else 'shared' end as layer, t.c as p2p_count
 from projected p full join t on p.src = t.src and p.dst = t.dst
@@ -307,13 +327,25 @@ def q_incidence(spark, sf):
 
 @query("projection", f"{views('projected')} select src, dst, shared, round(weight, 6) as weight from projected")
 def q_projection(spark, sf):
-    return rounded(pj.project(pj.incidence(tx_orders(spark, sf)), HUB_LIMIT), 6, "weight")
+    """All hubs count; pairs are listed between the most active clients."""
+    tx = tx_orders(spark, sf)
+    return rounded(pj.project(pj.incidence(tx), most_active(tx, TOP)), 6, "weight")
+
+
+@query("projection_of_transfers", f"""{views('incidence')},
+p as (select distinct client_id as src, recipient_id as dst from tx_orders where transaction_type = 'p2p' and client_id < recipient_id),
+s as (select a.client_id as src, b.client_id as dst, count(*) as shared from incidence a join incidence b on a.hub = b.hub group by 1, 2)
+select p.src, p.dst, coalesce(shared, 0) as shared, round(ln(1 + coalesce(shared, 0)), 6) as weight from p left join s using (src, dst)""")
+def q_projection_of_transfers(spark, sf):
+    """What the two sides of each transfer share, over all hubs."""
+    tx = tx_orders(spark, sf)
+    return rounded(pj.shared_of_pairs(pj.incidence(tx), ed.raw_transfer_pairs(tx)), 6, "weight")
 
 
 @query("projection_large_hubs", f"""{views('hub_count')}
-select hub, client_id, n_clients from incidence join hub_count using (hub) where n_clients > {HUB_LIMIT}""")
+select hub, client_id, n_clients from incidence join hub_count using (hub) where n_clients > {HUB_REPORT}""")
 def q_large(spark, sf):
-    return pj.large_hubs(pj.incidence(tx_orders(spark, sf)), HUB_LIMIT)
+    return pj.large_hubs(pj.incidence(tx_orders(spark, sf)), HUB_REPORT)
 
 
 @query("p2p_collapsed", f"""{views('collapsed')}
@@ -325,4 +357,5 @@ def q_collapsed(spark, sf):
 
 @query("merged_graph", f"{views('merged')} select src, dst, round(weight, 6) as weight, layer, p2p_count from merged")
 def q_merged(spark, sf):
-    return rounded(pj.merged_graph(tx_orders(spark, sf), HUB_LIMIT), 6, "weight")
+    tx = tx_orders(spark, sf)
+    return rounded(pj.merged_graph(tx, nodes=most_active(tx, TOP)), 6, "weight")

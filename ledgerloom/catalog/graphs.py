@@ -33,7 +33,7 @@ def link_graph(spark, sf):
     tx = tx_orders(spark, sf)
     columns = ["src", "dst", "relationship", "weight"]
     parts = ed.sequential_edges(tx).unionByName(ed.raw_transfer_pairs(tx)).unionByName(
-        ed.withdrawal_edges(tx).select(*columns)
+        ed.withdrawal_edges(tx, pairs=True).select(*columns)
     )
     merged = ed.merge_last_writer(parts)
     return merged.filter(F.col("src") != F.col("dst")).select("src", "dst", "weight")

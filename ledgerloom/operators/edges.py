@@ -3,8 +3,9 @@
 Shared attributes ("hubs": a merchant, session, network, cash point) connect every pair of
 clients that used them. Pairs are only ever built for hubs with a bounded number of distinct
 clients. Hubs are counted before their clients are gathered, so a hub that holds a third of
-all rows never becomes an array; hubs above the bound are either excluded by definition
-(``cap``) or kept whole as client-to-hub rows (``expand_limit``).
+all rows never becomes an array; hubs above the bound are excluded by definition (``cap``).
+Where there is no such bound, the edges are client-to-hub rows, which hold the same links
+without listing them; pairs are listed on request only, for chosen clients or hubs known to be small.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.text import ordered_pair
 from ..functions.times import grain, minute_label
 
-DEFAULT_EXPAND_LIMIT = 1000
-
 
 @dataclass(frozen=True)
 class HubKind:
@@ -208,29 +207,30 @@ def distinct_pair_edges(
     rules: list[PairRule],
     transfer_weight: float | None = None,
     recipient: str = "recipient_id_hash",
-    expand_limit: int = DEFAULT_EXPAND_LIMIT,
+    pairs: bool = False,
     nodes: DataFrame | None = None,
 ) -> DataFrame:
-    """(source, target, relationship, weight): distinct pairs per relationship.
-
-    Hubs of up to ``expand_limit`` clients give one row per pair. A larger hub is kept whole
-    as one row per client, ``target`` being the hub and ``relationship`` ending in ``_hub``,
-    so the output never grows faster than rows times limit. Two clients are linked when they
-    share a pair row or a hub row. ``nodes`` (id) restricts both ends before pairs are
-    built, which is how a top-N subgraph is drawn.
+    """(source, target, relationship, weight): clients linked by shared attributes, and transfers.
+
+    Every hub of two or more clients is kept whole, as one row per client with the hub as
+    ``target`` and a ``relationship`` that ends in ``_hub``: two clients are linked when they
+    share a hub row, and the output is never longer than the input. ``pairs=True`` lists the
+    distinct pairs of all hubs instead, whose number grows with the square of a hub's size.
+    ``nodes`` (id) lists the pairs among those clients only; both ends are restricted before
+    pairs are built, which is how a top-N subgraph is drawn.
     """
     members = _sized_members(tx, rules, nodes)
     weight = F.create_map(*[F.lit(x) for r in rules for x in (r.relationship, r.weight)])[F.col("kind")]
-    pairs = expand_pairs(members.filter(F.col("n_clients") <= expand_limit)).select("kind", "src", "dst").distinct()
-    out = pairs.select(
-        F.col("src").alias("source"), F.col("dst").alias("target"), F.col("kind").alias("relationship"),
-        weight.alias("weight"),
-    ).unionByName(
-        members.filter(F.col("n_clients") > expand_limit).select(
+    if pairs or nodes is not None:
+        out = expand_pairs(members).select("kind", "src", "dst").distinct().select(
+            F.col("src").alias("source"), F.col("dst").alias("target"), F.col("kind").alias("relationship"),
+            weight.alias("weight"),
+        )
+    else:
+        out = members.select(
             F.col("client_id").alias("source"), F.col("hub").alias("target"),
             F.concat("kind", F.lit("_hub")).alias("relationship"), weight.alias("weight"),
         )
-    )
     if transfer_weight is not None:
         transfers = raw_transfer_pairs(tx, transfer_weight, recipient)
         if nodes is not None:
@@ -241,9 +241,9 @@ def distinct_pair_edges(
     return out
 
 
-def oversized_members(members: DataFrame, limit: int) -> DataFrame:
-    """(kind, hub, client_id, n_clients) of hubs with more than ``limit`` clients."""
-    big = hub_sizes(members).filter(F.col("n_clients") > limit)
+def larger_hubs(members: DataFrame, least: int) -> DataFrame:
+    """(kind, hub, client_id, n_clients) of hubs with more than ``least`` clients, a report."""
+    big = hub_sizes(members).filter(F.col("n_clients") > least)
     return members.join(big, ["kind", "hub"])
 
 
@@ -263,13 +263,21 @@ def induced(edges: DataFrame, nodes: DataFrame, src: str = "src", dst: str = "ds
 
 
 def edge_diagnostics(edges: DataFrame, src: str = "source", dst: str = "target") -> DataFrame:
-    """Edges and distinct endpoints per relationship."""
-    return (
-        edges.select("relationship", F.posexplode(F.array(src, dst)).alias("pos", "node"))
-        .groupBy("relationship", "node")
-        .agg(F.count_if(F.col("pos") == 0).alias("as_source"))
-        .groupBy("relationship")
-        .agg(F.sum("as_source").alias("n_edges"), F.count("*").alias("n_clients"))
+    """Per relationship: rows, distinct clients, distinct hubs, and pairs (those of a hub counted in each hub).
+
+    A hub row's target is a hub, not a client; pair rows have no hubs.
+    """
+    hub_row = F.col("relationship").endswith("_hub")
+    ends = edges.select("relationship", F.posexplode(F.array(src, dst)).alias("pos", "node"))
+    ends = ends.withColumn("is_hub", hub_row & (F.col("pos") == 1))
+    by_node = ends.groupBy("relationship", "node", "is_hub").agg(F.count("*").alias("n"), F.count_if(F.col("pos") == 0).alias("as_source"))
+    return by_node.groupBy("relationship").agg(
+        F.sum("as_source").alias("n_edges"),
+        F.count_if(~F.col("is_hub")).alias("n_clients"),
+        F.count_if("is_hub").alias("n_hubs"),
+        F.sum(
+            F.when(F.col("is_hub"), F.expr("n * (n - 1) div 2")).when(~F.col("relationship").endswith("_hub"), F.col("as_source")).otherwise(0)
+        ).alias("n_pairs"),
     )
 
 
@@ -304,17 +312,17 @@ def co_occurrence_edges(
     relationship: str,
     weight: float,
     min_rows: int,
-    expand_limit: int = DEFAULT_EXPAND_LIMIT,
+    pairs: bool = False,
     self_loops: bool = True,
     collapse: bool = True,
 ) -> DataFrame:
-    """(src, dst, relationship, weight, multiplicity): pairs of *rows* of a hub, counted per pair of clients.
+    """(src, dst, relationship, weight, multiplicity): clients with rows in a common hub of ``min_rows`` rows or more.
 
-    Hubs count with at least ``min_rows`` rows. Instead of one edge per pair of rows the
-    multiplicity is the product of both clients' row counts; a client with several rows gets
-    a self-loop. Hubs above ``expand_limit`` clients come as client-to-hub rows whose
-    relationship ends in ``_hub`` and whose multiplicity is the client's row count.
-    ``collapse=False`` leaves one row per hub and pair, for callers that aggregate anyway.
+    Hubs stay whole as client-to-hub rows, whose relationship ends in ``_hub`` and whose
+    multiplicity is the client's row count. ``pairs=True`` lists pairs of clients instead, for
+    hubs that are small by nature: the multiplicity counts pairs of *rows*, the product of both
+    clients' counts, and a client with several rows gets a self-loop. ``collapse=False`` then
+    leaves one row per hub and pair, for callers that aggregate anyway.
     """
     per_client = (
         tx.select(key.cast("string").alias("hub"), "client_id")
@@ -322,12 +330,16 @@ def co_occurrence_edges(
         .groupBy("hub", "client_id")
         .agg(F.count("*").alias("n"))
     )
-    sizes = per_client.groupBy("hub").agg(F.sum("n").alias("hub_rows"), F.count("*").alias("n_clients"))
-    sized = per_client.join(sizes.filter(F.col("hub_rows") >= min_rows), "hub")
+    sizes = per_client.groupBy("hub").agg(F.sum("n").alias("hub_rows"))
+    kept = per_client.join(sizes.filter(F.col("hub_rows") >= min_rows).select("hub"), "hub", "left_semi")
+    if not pairs:
+        return kept.select(
+            F.col("client_id").alias("src"), F.col("hub").alias("dst"), F.lit(f"{relationship}_hub").alias("relationship"),
+            F.lit(weight).alias("weight"), F.col("n").alias("multiplicity"),
+        )
     same = F.col("a.client_id") == F.col("b.client_id")
-    small = (
-        sized.filter(F.col("n_clients") <= expand_limit)
-        .groupBy("hub")
+    listed = (
+        kept.groupBy("hub")
         .agg(F.array_sort(F.collect_list(F.struct("client_id", "n"))).alias("m"))
         .select("m", F.posexplode("m").alias("i", "a"))
         .select("a", F.explode(F.expr("slice(m, i + 1, size(m))")).alias("b"))
@@ -336,37 +348,27 @@ def co_occurrence_edges(
             F.col("b.client_id").alias("dst"),
             F.when(same, F.expr("a.n * (a.n - 1) div 2") if self_loops else F.lit(0))
             .otherwise(F.col("a.n") * F.col("b.n"))
-            .alias("k"),
+            .alias("multiplicity"),
         )
-        .filter(F.col("k") > 0)
-        .withColumnRenamed("k", "multiplicity")
+        .filter(F.col("multiplicity") > 0)
     )
     if collapse:
-        small = small.groupBy("src", "dst").agg(F.sum("multiplicity").alias("multiplicity"))
-    small = small.select(
+        listed = listed.groupBy("src", "dst").agg(F.sum("multiplicity").alias("multiplicity"))
+    return listed.select(
         "src", "dst", F.lit(relationship).alias("relationship"), F.lit(weight).alias("weight"), "multiplicity"
     )
-    large = sized.filter(F.col("n_clients") > expand_limit).select(
-        F.col("client_id").alias("src"), F.col("hub").alias("dst"),
-        F.lit(f"{relationship}_hub").alias("relationship"), F.lit(weight).alias("weight"),
-        F.col("n").alias("multiplicity"),
-    )
-    return small.unionByName(large)
 
 
-def session_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT, collapse: bool = True) -> DataFrame:
+def session_edges(tx: DataFrame, pairs: bool = False, collapse: bool = True) -> DataFrame:
     """Sessions with more than 5 rows."""
-    return co_occurrence_edges(
-        tx, F.col("session_id"), "session_shared", 0.5, 6, expand_limit, collapse=collapse
-    )
+    return co_occurrence_edges(tx, F.col("session_id"), "session_shared", 0.5, 6, pairs, collapse=collapse)
 
 
-def withdrawal_edges(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT, collapse: bool = True) -> DataFrame:
+def withdrawal_edges(tx: DataFrame, pairs: bool = False, collapse: bool = True) -> DataFrame:
     """Withdrawals in one region at exactly the same time."""
     place = F.concat(F.col("region"), F.lit("@"), F.unix_micros(F.col("datetime").cast("timestamp")))
     return co_occurrence_edges(
-        tx.filter(F.col("transaction_type") == "withdrawal"), place, "withdrawal_shared", 2.0, 2, expand_limit,
-        collapse=collapse,
+        tx.filter(F.col("transaction_type") == "withdrawal"), place, "withdrawal_shared", 2.0, 2, pairs, collapse=collapse
     )
 
 
@@ -377,30 +379,33 @@ MERGE_ORDER = ["merchant_shared", "p2p", "session_shared", "withdrawal_shared"]
 def merge_last_writer(edges: DataFrame) -> DataFrame:
     """One undirected edge per pair; the latest kind in merge order gives weight and relationship.
 
-    All edges of a kind carry the same weight.
+    All edges of a kind carry the same weight. A relationship outside the merge order raises.
     """
     a, b = ordered_pair(F.col("src"), F.col("dst"))
     kinds = F.array(*[F.lit(k) for k in MERGE_ORDER])
+    place = F.array_position(kinds, F.col("relationship"))
+    known = F.when(place > 0, place).otherwise(F.raise_error(F.concat(F.lit("no place in the merge order: "), F.col("relationship"))))
     # Numbers instead of structs in the buffers keep this a hash aggregation.
     return (
-        edges.select(a.alias("src"), b.alias("dst"), F.array_position(kinds, F.col("relationship")).alias("o"), "weight")
+        edges.select(a.alias("src"), b.alias("dst"), known.cast("long").alias("o"), "weight")
         .groupBy("src", "dst")
         .agg(F.max_by("weight", "o").alias("weight"), F.max("o").alias("o"))
         .select("src", "dst", F.element_at(kinds, F.col("o").cast("int")).alias("relationship"), "weight")
     )
 
 
-def last_writer_graph(tx: DataFrame, expand_limit: int = DEFAULT_EXPAND_LIMIT) -> DataFrame:
-    """The undirected graph of sequential, transfer, session and withdrawal edges.
+def last_writer_graph(tx: DataFrame) -> DataFrame:
+    """The undirected graph of sequential, transfer, session and withdrawal edges, all pairs listed.
 
-    Rows of hubs above ``expand_limit`` keep their hub as one end and are not merged.
+    Only one kind can win a pair, so this graph has no form without pairs. Sessions and
+    withdrawals of one place and instant are small by nature; a hub that isn't costs the square
+    of its clients.
     """
     columns = ["src", "dst", "relationship", "weight"]
     edges = (
         sequential_edges(tx)
         .unionByName(raw_transfer_pairs(tx))
-        .unionByName(session_edges(tx, expand_limit, collapse=False).select(*columns))
-        .unionByName(withdrawal_edges(tx, expand_limit, collapse=False).select(*columns))
+        .unionByName(session_edges(tx, True, collapse=False).select(*columns))
+        .unionByName(withdrawal_edges(tx, True, collapse=False).select(*columns))
     )
-    whole = F.col("relationship").endswith("_hub")
-    return merge_last_writer(edges.filter(~whole)).unionByName(edges.filter(whole).select(*columns))
+    return merge_last_writer(edges)

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hub_key, hub_key_keep_null, ordered_pair
 from ..functions.times import floor_to
-from ..session import cut
-from .edges import bounded_members, expand_pairs, hub_sizes, oversized_members, prepare_transactions
-
-DEFAULT_HUB_LIMIT = 1000
+from .edges import expand_pairs, induced, larger_hubs, prepare_transactions
 
 # Column, hub prefix and base weight of each kind of hub.
 HUBS = [
@@ -51,44 +48,38 @@ def incidence(tx: DataFrame) -> DataFrame:
     )
 
 
-HUBS_PER_LIST = 4096
+def project(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(src, dst, shared, weight): clients that share a hub, weighted by log1p of the hubs shared.
 
+    All hubs count, whatever their size. ``nodes`` (id) restricts both ends before pairs are
+    built; without it every pair of every hub is listed, whose number grows with the square of
+    a hub's clients. For given pairs use :func:`shared_of_pairs`, and the incidence itself is
+    the whole graph without listing pairs.
+    """
+    members = links.select("kind", "hub", "client_id")
+    if nodes is not None:
+        members = members.join(nodes.select(F.col("id").alias("client_id")), "client_id", "left_semi")
+    return expand_pairs(members).groupBy("src", "dst").agg(F.count("*").alias("shared")).withColumn("weight", F.log1p("shared"))
 
-def project(links: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT) -> DataFrame:
-    """(src, dst, shared, weight): clients that share a hub, weighted by log1p of the hubs shared.
 
-    ``shared`` counts *all* common hubs. Pairs are found through hubs of up to ``hub_limit``
-    clients; what a pair shares among the larger hubs (devices, regions, chains) is then
-    looked up in each client's list of those. The lists are split by hash so that none holds
-    more than about ``HUBS_PER_LIST`` hubs. Clients that meet in large hubs only stay
-    described by :func:`large_hubs`.
+def shared_of_pairs(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(src, dst, shared, weight) of given distinct pairs (src, dst); 0 hubs give 0.
+
+    Each end's hubs are joined to the pair as rows, so neither a client with many hubs nor a
+    hub with many clients is ever gathered.
     """
-    members = cut(links.select("kind", "hub", "client_id"), "incidence")
-    found = (
-        expand_pairs(bounded_members(members, F.lit(hub_limit)))
-        .groupBy("src", "dst")
-        .agg(F.count("*").alias("small"))
-    )
-    n_large = hub_sizes(members).filter(F.col("n_clients") > hub_limit).count()
-    lists = max(1, -(-n_large // HUBS_PER_LIST))
-    part = F.pmod(F.xxhash64("hub"), F.lit(lists)).alias("part")
-    large = oversized_members(members, hub_limit).groupBy("client_id", part).agg(F.collect_list("hub").alias("hubs"))
-    spread = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lists - 1).cast("long"))))
-    common = F.coalesce(F.size(F.array_intersect("a.hubs", "b.hubs")), F.lit(0)).cast("long")
-    counted = (
-        spread.join(large.alias("a"), (F.col("src") == F.col("a.client_id")) & (spread["part"] == F.col("a.part")), "left")
-        .join(large.alias("b"), (F.col("dst") == F.col("b.client_id")) & (spread["part"] == F.col("b.part")), "left")
-        .select("src", "dst", "small", common.alias("large"))
+    hubs = links.select("hub", F.col("client_id").alias("src"))
+    both = pairs.select("src", "dst").join(hubs, "src").join(hubs.withColumnRenamed("src", "dst"), ["dst", "hub"])
+    counted = both.groupBy("src", "dst").agg(F.count("*").alias("n"))
+    shared = F.coalesce("n", F.lit(0)).cast("long")
+    return pairs.select("src", "dst").join(counted, ["src", "dst"], "left").select(
+        "src", "dst", shared.alias("shared"), F.log1p(shared).alias("weight")
     )
-    if lists > 1:
-        counted = counted.groupBy("src", "dst").agg(F.first("small").alias("small"), F.sum("large").alias("large"))
-    shared = F.col("small") + F.col("large")
-    return counted.select("src", "dst", shared.alias("shared"), F.log1p(shared).alias("weight"))
 
 
-def large_hubs(links: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT) -> DataFrame:
-    """(hub, client_id, n_clients) of the hubs that are not expanded into pairs."""
-    return oversized_members(links.select("kind", "hub", "client_id"), hub_limit).select("hub", "client_id", "n_clients")
+def large_hubs(links: DataFrame, least: int) -> DataFrame:
+    """(hub, client_id, n_clients) of hubs with more than ``least`` clients, a report."""
+    return larger_hubs(links.select("kind", "hub", "client_id"), least).select("hub", "client_id", "n_clients")
 
 
 def transfers_collapsed(tx: DataFrame) -> DataFrame:
@@ -100,12 +91,13 @@ def transfers_collapsed(tx: DataFrame) -> DataFrame:
     )
 
 
-def merged_graph(tx: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT, min_weight: float = 1.0) -> DataFrame:
+def merged_graph(tx: DataFrame, min_weight: float = 1.0, nodes: DataFrame | None = None) -> DataFrame:
     """Projection plus transfers: (src, dst, weight, layer, p2p_count), weak edges cut.
 
-    ``p2p_count`` counts directions, 1 or 2, and is NULL without transfers.
+    ``p2p_count`` counts directions, 1 or 2, and is NULL without transfers. ``nodes`` (id)
+    restricts both ends, as in :func:`project`.
     """
-    shared = project(incidence(tx), hub_limit).select("src", "dst", F.col("weight").alias("shared_weight"))
+    shared = project(incidence(tx), nodes).select("src", "dst", F.col("weight").alias("shared_weight"))
     a, b = ordered_pair(F.col("src"), F.col("dst"))
     transfers = (
         transfers_collapsed(tx)
@@ -113,6 +105,8 @@ def merged_graph(tx: DataFrame, hub_limit: int = DEFAULT_HUB_LIMIT, min_weight:
         .groupBy("src", "dst")
         .agg(F.sum("w").alias("p2p_weight"), F.count("*").alias("p2p_count"))
     )
+    if nodes is not None:
+        transfers = induced(transfers, nodes)
     zero = F.lit(0.0)
     return (
         shared.join(transfers, ["src", "dst"], "full")

@@ -77,32 +77,31 @@ def test_weak_transfers_are_cut_and_hashes_resolve(spark):
     assert pairs(ed.client_edges(df, clients, recipient_key="resolve")) == [("a", "c")]
 
 
-def test_distinct_pairs_expand_or_stay_whole(spark):
-    rows = [dict(client_id=f"c{i}", merchant=m) for m, n in (("small", 3), ("large", 6)) for i in range(n)] * 2
+def test_hub_rows_hold_the_same_links_as_pairs(spark):
+    rows = [dict(client_id=f"c{i}", merchant=m) for m, n in (("small", 3), ("large", 6), ("single", 1)) for i in range(n)] * 2
     df = frame(spark, rows)
     rule = [ed.PairRule("merchant", "merchant_shared", 0.5)]
-    every = pairs(ed.distinct_pair_edges(df, rule), "source", "target")
+    every = pairs(ed.distinct_pair_edges(df, rule, pairs=True), "source", "target")
     assert every == sorted(combinations([f"c{i}" for i in range(6)], 2))
-    split = ed.distinct_pair_edges(df, rule, expand_limit=4)
-    by_kind = {k: pairs(split.filter(F.col("relationship") == k), "source", "target") for k in ("merchant_shared", "merchant_shared_hub")}
-    assert by_kind["merchant_shared"] == sorted(combinations(["c0", "c1", "c2"], 2))
-    assert by_kind["merchant_shared_hub"] == [(f"c{i}", "large") for i in range(6)]
-    # Nothing is lost: pair rows and pairs that share a hub row give every pair again.
-    rebuilt = set(by_kind["merchant_shared"]) | set(combinations([c for c, _ in by_kind["merchant_shared_hub"]], 2))
-    assert sorted(rebuilt) == every
+    hubs = ed.distinct_pair_edges(df, rule)
+    assert {r.relationship for r in hubs.collect()} == {"merchant_shared_hub"}
+    assert pairs(hubs, "source", "target") == sorted([(f"c{i}", "small") for i in range(3)] + [(f"c{i}", "large") for i in range(6)])
     chosen = spark.createDataFrame([("c0",), ("c5",)], "id string")
-    assert pairs(ed.distinct_pair_edges(df, rule, nodes=chosen, expand_limit=4), "source", "target") == [("c0", "c5")]
+    assert pairs(ed.distinct_pair_edges(df, rule, nodes=chosen), "source", "target") == [("c0", "c5")]
 
 
 def test_network_row_limit_counts_transactions(spark):
     rows = [dict(client_id=f"c{i % 2}", ip_network="busy") for i in range(6)] + [dict(client_id=c, ip_network="calm") for c in ("x", "y")]
     rule = [ed.PairRule("ip_network", "ip_shared", 1.0, 6)]
-    assert pairs(ed.distinct_pair_edges(frame(spark, rows), rule), "source", "target") == [("x", "y")]
+    assert pairs(ed.distinct_pair_edges(frame(spark, rows), rule, pairs=True), "source", "target") == [("x", "y")]
 
 
 def test_diagnostics(spark):
     df = spark.createDataFrame([("a", "b", "p"), ("a", "c", "p"), ("x", "y", "q")], "source string, target string, relationship string")
-    assert {r.relationship: (r.n_edges, r.n_clients) for r in ed.edge_diagnostics(df).collect()} == {"p": (2, 3), "q": (1, 2)}
+    assert {r.relationship: (r.n_edges, r.n_clients, r.n_hubs, r.n_pairs) for r in ed.edge_diagnostics(df).collect()} == {
+        "p": (2, 3, 0, 2), "q": (1, 2, 0, 1)}
+    hubs = spark.createDataFrame([(c, h, "m_hub") for h, cs in (("h", "abc"), ("i", "ab")) for c in cs], "source string, target string, relationship string")
+    assert [tuple(r) for r in ed.edge_diagnostics(hubs).collect()] == [("m_hub", 5, 3, 2, 4)]
 
 
 def test_sequential_edges(spark):
@@ -121,12 +120,12 @@ def row_pairs(clients):
 def test_session_rows_count_pairs_of_rows(spark):
     clients = ["a", "b", "a", "c", "b", "a"]
     rows = [dict(client_id=c, session_id="s") for c in clients] + [dict(client_id=c, session_id="five") for c in "vwxyz"]
-    got = {(r.src, r.dst): r.multiplicity for r in ed.session_edges(frame(spark, rows)).collect()}
+    got = {(r.src, r.dst): r.multiplicity for r in ed.session_edges(frame(spark, rows), pairs=True).collect()}
     want = {}
     for p in row_pairs(clients):
         want[p] = want.get(p, 0) + 1
     assert got == want
-    whole = ed.session_edges(frame(spark, rows), expand_limit=2).collect()
+    whole = ed.session_edges(frame(spark, rows)).collect()
     assert sorted((r.src, r.dst, r.relationship, r.multiplicity) for r in whole) == [
         ("a", "s", "session_shared_hub", 3), ("b", "s", "session_shared_hub", 2), ("c", "s", "session_shared_hub", 1)]
 
@@ -150,13 +149,27 @@ def test_projection_counts_all_shared_hubs(spark):
     rows = [dict(client_id=c, region="R", device_type="web", session_id="s1" if i < 3 else f"own{i}", merchant=f"m{i}") for i, c in enumerate(people)]
     links = pj.incidence(frame(spark, rows))
     # Cash points (deposits at one time) are shared by everyone as well.
-    full = {(r.src, r.dst): r.shared for r in pj.project(links, 1000).collect()}
+    full = {(r.src, r.dst): r.shared for r in pj.project(links).collect()}
     assert full[("c0", "c1")] == 4 and full[("c0", "c5")] == 3 and len(full) == 15
-    some = {(r.src, r.dst): r.shared for r in pj.project(links, 3).collect()}
-    assert some == {p: 4 for p in combinations(people[:3], 2)}
+    chosen = spark.createDataFrame([(p,) for p in people[:3]], "id string")
+    assert {(r.src, r.dst): r.shared for r in pj.project(links, chosen).collect()} == {p: 4 for p in combinations(people[:3], 2)}
+    asked = spark.createDataFrame([("c0", "c1"), ("c0", "c5"), ("c0", "nobody")], "src string, dst string")
+    assert {(r.src, r.dst): r.shared for r in pj.shared_of_pairs(links, asked).collect()} == {("c0", "c1"): 4, ("c0", "c5"): 3, ("c0", "nobody"): 0}
     assert {r.hub for r in pj.large_hubs(links, 3).collect()} == {"reg:R", "dev:web", "atm:R:2024-01-01 12:00:00"}
 
 
+def test_clients_that_share_device_and_region_only(spark):
+    rows = [dict(client_id=c, region="R", device_type="web", merchant=f"m{c}", transaction_type="payment") for c in "abc"]
+    got = {(r.src, r.dst): (r.shared, round(r.weight, 4)) for r in pj.project(pj.incidence(frame(spark, rows))).collect()}
+    assert got == {p: (2, 1.0986) for p in (("a", "b"), ("a", "c"), ("b", "c"))}
+
+
+def test_merge_refuses_unknown_kinds(spark):
+    df = spark.createDataFrame([("a", "b", "withdrawal_shared_hub", 2.0)], "src string, dst string, relationship string, weight double")
+    with pytest.raises(Exception, match="no place in the merge order"):
+        ed.merge_last_writer(df).collect()
+
+
 def test_collapsed_transfers_keep_the_latest(spark):
     rows = [dict(client_id="a", recipient_id="b", transaction_type="p2p", amount=5.0, datetime=T0 + timedelta(days=1)),
             dict(client_id="a", recipient_id="b", transaction_type="p2p", amount=7.0),
@@ -175,11 +188,3 @@ def test_merged_graph_cuts_single_hub_pairs(spark):
     got = {(r.src, r.dst): (round(r.weight, 6), r.layer, r.p2p_count) for r in pj.merged_graph(df).collect()}
     want = math.log1p(1) + math.log1p(2.0) + math.log1p(3.0)
     assert got == {("a", "b"): (round(want, 6), "shared", 2)}
-
-
-def test_projection_with_split_lists(spark, monkeypatch):
-    people = [f"c{i}" for i in range(6)]
-    rows = [dict(client_id=c, region="R", device_type="web", session_id="s1" if i < 3 else f"own{i}", merchant=f"m{i}") for i, c in enumerate(people)]
-    links = pj.incidence(frame(spark, rows))
-    monkeypatch.setattr(pj, "HUBS_PER_LIST", 1)
-    assert {(r.src, r.dst): r.shared for r in pj.project(links, 3).collect()} == {p: 4 for p in combinations(people[:3], 2)}
