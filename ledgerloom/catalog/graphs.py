@@ -17,7 +17,7 @@ from ..operators import edges as ed
 from ..operators.categories import fill_categories
 from ..plans import marts, reports
 from ..session import cut
-from .base import NEEDS, VIEWS, exact_mean, masked_orders, query, rounded, tx_orders, views
+from .base import NEEDS, VIEWS, exact_mean, masked_orders, query, rounded, second_text, tx_orders, views
 from .edges import _RAW_P2P, _SEQUENTIAL, _WITHDRAWAL, final_edges
 
 # --- graphs -----------------------------------------------------------------------------------
@@ -29,31 +29,38 @@ def transfer_graph(spark, sf):
 
 
 def link_graph(spark, sf):
-    """Undirected graph of sequential, transfer and withdrawal edges, last kind wins."""
+    """Undirected graph (src, dst, weight) of sequential, transfer and withdrawal edges, last kind wins."""
+    return named_link_graph(spark, sf).drop("relationship")
+
+
+def named_link_graph(spark, sf):
+    """The same with the relationship of each edge."""
     tx = tx_orders(spark, sf)
     columns = ["src", "dst", "relationship", "weight"]
     parts = ed.sequential_edges(tx).unionByName(ed.raw_transfer_pairs(tx)).unionByName(
         ed.withdrawal_edges(tx, pairs=True).select(*columns)
     )
     merged = ed.merge_last_writer(parts)
-    return merged.filter(F.col("src") != F.col("dst")).select("src", "dst", "weight")
+    return merged.filter(F.col("src") != F.col("dst")).select("src", "dst", "weight", "relationship")
 
 
 VIEWS["transfers"] = _RAW_P2P.format(t="tx_orders")
 NEEDS["transfers"] = ["tx_orders"]
 VIEWS["links"] = f"""with e as (
-  select src, dst, weight, 1 as o from ({_SEQUENTIAL.format(t='tx_orders')})
-  union all select src, dst, weight, 2 from ({_RAW_P2P.format(t='tx_orders')})
-  union all select src, dst, weight, 4 from ({_WITHDRAWAL}))
-select least(src, dst) as src, greatest(src, dst) as dst, max_by(weight, o) as weight from e where src <> dst group by 1, 2"""
+  select src, dst, relationship, weight, 1 as o from ({_SEQUENTIAL.format(t='tx_orders')})
+  union all select src, dst, relationship, weight, 2 from ({_RAW_P2P.format(t='tx_orders')})
+  union all select src, dst, relationship, weight, 4 from ({_WITHDRAWAL}))
+select least(src, dst) as src, greatest(src, dst) as dst, max_by(weight, o) as weight,
+  max_by(relationship, o) as relationship from e where src <> dst group by 1, 2"""
 NEEDS["links"] = ["tx_orders"]
 
 
-def lpa_sql(edges: str, rounds: int, prefix: str = "lp") -> str:
+def lpa_sql(edges: str, rounds: int, prefix: str = "lp", own: bool = False) -> str:
     """Round tables ``{prefix}0`` .. ``{prefix}{rounds}`` (id, label) as a chain of CTEs."""
     parts = [
         f"{prefix}_adj as materialized (select src, dst, count(*) as n from (select src, dst from {edges} "
-        f"union all select dst, src from {edges}) group by 1, 2)",
+        f"union all select dst, src from {edges}"
+        f"{f' union all select distinct id, id from (select src as id from {edges} union select dst from {edges})' if own else ''}) group by 1, 2)",
         f"{prefix}0 as materialized (select distinct src as id, src as label from {prefix}_adj)",
     ]
     for i in range(1, rounds + 1):
@@ -135,12 +142,13 @@ def q_lpa(spark, sf):
     return label_propagation(final_edges(spark, sf), 10)
 
 
-_STABLE = 25
+_STABLE = 40
 
 
-@query("lpa_stable", f"{views('links')}, {lpa_sql('links', _STABLE)} select id, label as community_id from lp{_STABLE}")
+@query("lpa_stable", f"{views('links')}, {lpa_sql('links', _STABLE, own=True)} select id, label as community_id from lp{_STABLE}")
 def q_lpa_stable(spark, sf):
-    return label_propagation(link_graph(spark, sf), _STABLE, until_stable=True)
+    """Settles before the last of the rounds, else the operator raises; more rounds change nothing then."""
+    return label_propagation(link_graph(spark, sf), _STABLE, until_stable=True, self_vote=True)
 
 
 @query("pagerank", f"{views('edges')}, {pagerank_sql('edges', 20)} select id, round(influence_score, 6) as influence_score from pr")
@@ -150,7 +158,7 @@ def q_pagerank(spark, sf):
 
 @query("pagerank_weighted", f"{views('links')}, {pagerank_weighted_sql('links', 12)} select id, round(r, 8) as influence_score from w12")
 def q_pagerank_weighted(spark, sf):
-    return rounded(pagerank_weighted(link_graph(spark, sf), tol=0.0, max_rounds=12), 8, "influence_score")
+    return rounded(pagerank_weighted(link_graph(spark, sf), rounds=12), 8, "influence_score")
 
 
 _COMPONENTS = """adj as materialized (select src, dst from transfers union select dst, src from transfers),
@@ -308,7 +316,7 @@ t as materialized (select id from w12 order by round(r, 10) desc, id limit 100)
 select src, dst, weight from links where src in (select id from t) and dst in (select id from t)""")
 def q_top_nodes(spark, sf):
     graph = cut(link_graph(spark, sf), "graph")
-    scores = pagerank_weighted(graph, tol=0.0, max_rounds=12).withColumn("influence_score", F.round("influence_score", 10))
+    scores = pagerank_weighted(graph, rounds=12).withColumn("influence_score", F.round("influence_score", 10))
     return ed.induced(graph, sg.top_nodes(scores, 100).select("id"))
 
 
@@ -316,7 +324,7 @@ def q_top_nodes(spark, sf):
 t as (select id, r from w12 order by round(r, 10) desc, id limit 100), s as (select min(r) as a, max(r) as b from t)
 select id, round(100 + (r - a) / (b - a) * 4900, 2) as size from t, s""")
 def q_display(spark, sf):
-    scores = pagerank_weighted(link_graph(spark, sf), tol=0.0, max_rounds=12)
+    scores = pagerank_weighted(link_graph(spark, sf), rounds=12)
     top = sg.top_nodes(scores.withColumn("r", F.round("influence_score", 10)), 100, "r")
     return rounded(agg.min_max_scale(top, "influence_score", 100, 5000, "size").select("id", "size"), 2, "size")
 
@@ -341,6 +349,31 @@ def q_stats(spark, sf):
     return stats.withColumn("distribution", text).drop("community_distribution")
 
 
+@query("community_sizes_links", f"{_LINK_LPA} select label as community_id, count(*) as community_size from lp10 group by 1")
+def q_sizes_links(spark, sf):
+    """The same report on the sparser graph, which has many communities."""
+    return sg.community_sizes(_link_lpa(spark, sf)[1])
+
+
+_TOP_LINKS = _TOP.replace("limit 100", "limit 20")
+
+
+@query("top_communities_links", f"""{_LINK_LPA}, {_TOP_LINKS}, t as materialized (select id from lp10 where label in (select label from top))
+select src, dst, weight from links where src in (select id from t) and dst in (select id from t)""")
+def q_top_links(spark, sf):
+    edges, membership = _link_lpa(spark, sf)
+    return ed.induced(edges, sg.members_of_top_communities(membership, 20).select("id"))
+
+
+@query("describe_sizes_links", f"""{_LINK_LPA}, s as (select count(*) as n from lp10 group by label)
+select count(*) as count, round(avg(n), 6) as mean, round(stddev_samp(n), 6) as std, min(n) as min,
+round(quantile_cont(n, 0.25), 4) as q25, round(quantile_cont(n, 0.5), 4) as q50, round(quantile_cont(n, 0.75), 4) as q75,
+max(n) as max from s""")
+def q_describe_links(spark, sf):
+    df = agg.describe(sg.community_sizes(_link_lpa(spark, sf)[1]), "community_size")
+    return rounded(rounded(df, 6, "mean", "std"), 4, "q25", "q50", "q75")
+
+
 @query("describe_sizes", f"""{_L}, s as (select count(*) as n from lp10 group by label)
 select count(*) as count, round(avg(n), 6) as mean, round(stddev_samp(n), 6) as std, min(n) as min,
 round(quantile_cont(n, 0.25), 4) as q25, round(quantile_cont(n, 0.5), 4) as q50, round(quantile_cont(n, 0.75), 4) as q75,
@@ -377,25 +410,28 @@ def _fact_inputs(spark, sf):
     return fill_categories(masked_orders(spark, sf)), cut(communities(spark, sf), "communities")
 
 
-@query("graph_fact", f"""{_C}, {_FACT} select * replace (round(influence_score, 6) as influence_score, round(w_degree, 6) as w_degree) from fact""")
+@query("graph_fact", f"""{_C}, {_FACT} select * replace (round(influence_score, 6) as influence_score, round(w_degree, 6) as w_degree),
+'2024-05-01 00:00:00' as created_at from fact""")
 def q_fact(spark, sf):
-    df = marts.graph_fact(None, *_fact_inputs(spark, sf))
-    return rounded(df.drop("datetime"), 6, "influence_score", "w_degree")
+    df = marts.graph_fact(None, *_fact_inputs(spark, sf), F.lit("2024-05-01").cast("timestamp"))
+    return rounded(df.drop("datetime"), 6, "influence_score", "w_degree").withColumn("created_at", second_text(F.col("created_at")))
 
 
 @query("upsert_fact", f"""{_C}, {_FACT}
 select transaction_id, case when cast(substr(transaction_id, 2) as bigint) % 2 = 0 then 'old' else category end as category,
-amount, community_id, community_size, round(influence_score, 6) as influence_score, round(w_degree, 6) as w_degree from fact""")
+amount, community_id, community_size, round(influence_score, 6) as influence_score, round(w_degree, 6) as w_degree,
+'2024-05-02 00:00:00' as created_at from fact""")
 def q_upsert(spark, sf):
     """Half of the fact exists with another category and stale features; both halves are merged."""
     tx, table = _fact_inputs(spark, sf)
     stale = marts.enriched(tx, table).filter(F.substring("transaction_id", 2, 20).cast("long") % 2 == 0).withColumns(
         {"category": F.lit("old"), "community_id": F.lit("stale"), "influence_score": F.lit(0.0),
-         "community_size": F.lit(0).cast("long"), "w_degree": F.lit(0.0)}
+         "community_size": F.lit(0).cast("long"), "w_degree": F.lit(0.0), "created_at": F.lit("2024-05-01").cast("timestamp")}
     )
-    df = marts.graph_fact(cut(stale, "fact"), tx, table)
+    df = marts.graph_fact(cut(stale, "fact"), tx, table, F.lit("2024-05-02").cast("timestamp"))
     return rounded(df, 6, "influence_score", "w_degree").select(
-        "transaction_id", "category", "amount", "community_id", "community_size", "influence_score", "w_degree"
+        "transaction_id", "category", "amount", "community_id", "community_size", "influence_score", "w_degree",
+        second_text(F.col("created_at")).alias("created_at"),
     )
 
 
@@ -479,4 +515,4 @@ def q_recommendations(spark, sf):
 @query("community_tx_count", f"""{_C}, {_FACT}
 select community_id, count(*) as tx_count from fact group by 1 order by tx_count desc, community_id nulls last limit 10000""")
 def q_tx_count(spark, sf):
-    return agg.transactions_per_community(marts.graph_fact(None, *_fact_inputs(spark, sf)))
+    return agg.transactions_per_community(marts.graph_fact(None, *_fact_inputs(spark, sf)), 10_000)

@@ -5,13 +5,17 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..graph import degrees as dg
+from ..graph import subgraph as sg
+from ..graph.lpa import label_propagation
+from ..graph.pagerank import pagerank
+from ..operators import edges as ed
 from ..operators.masking import mask_transactions
 from ..plans import loads, reports
 from ..schemas import CLIENTS, RATES, TRANSACTIONS_EVOLVED
 from ..session import cut, scratch_path
 from ..sources import readers, writers
 from .base import as_text, clients, masked_orders, query, rounded, second_text, tx_baskets, tx_events, tx_orders, views
-from .graphs import _METRICS, link_graph, pagerank_weighted_sql
+from .graphs import _METRICS, link_graph, lpa_sql, named_link_graph, pagerank_sql, pagerank_weighted_sql
 
 _ORDER_COLUMNS = "transaction_id, client_id, amount, merchant, region"
 
@@ -109,58 +113,74 @@ def q_swap(spark, sf):
     return readers.read_sql(spark, f"select transaction_id, amount, ip_network, channel from {name}")
 
 
-@query("json_summary", f"""{views('links')}, {_METRICS.replace('edges', 'links')}
-select count(*) as total_nodes, (select count(*) from links) as total_edges, round(avg(degree), 6) as avg_degree,
-max(degree) as max_degree, 5 as communities,
-(select string_agg(c || '=' || n, ';' order by c) from (select 'c' || length(id) % 5 as c, count(*) as n from metrics group by 1)) as distribution
-from metrics""")
+_EXPORTED = 20  # communities of the exported graph
+_MEMBERS = f"""{views('links')}, {_METRICS.replace('edges', 'links')}, {lpa_sql('links', 10)},
+sizes as (select label, count(*) as n from lp10 group by 1),
+top as materialized (select label, n from sizes order by n desc, label limit {_EXPORTED}),
+member as materialized (select id, label, n from lp10 join top using (label))"""
+
+
+@query("json_summary", f"""{_MEMBERS}
+select (select count(*) from lp10) as total_nodes, (select count(*) from links) as total_edges,
+(select round(avg(degree), 6) from metrics) as avg_degree, (select max(degree) from metrics) as max_degree,
+(select count(*) from sizes) as communities, (select count(*) from member) as filtered_nodes,
+(select count(*) from links where src in (select id from member) and dst in (select id from member)) as filtered_edges,
+(select string_agg(label || '=' || n, ';' order by label) from top) as distribution""")
 def q_json(spark, sf):
     """The one-record summary, written as JSON and read back."""
     graph = cut(link_graph(spark, sf), "graph")
-    table = dg.vertex_metrics(graph).withColumn("community_id", F.concat(F.lit("c"), F.length("id") % 5))
+    table = label_propagation(graph, 10).join(dg.vertex_metrics(graph), "id")
     path = scratch_path(spark, "json")
-    stats = reports.graph_statistics(table, graph)
+    stats = reports.graph_statistics(table, graph, _EXPORTED)
     writers.write_json(stats, path)
     back = spark.read.schema(stats.schema).json(path)
     entries = F.array_sort(F.map_entries("community_distribution"))
     text = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
     return rounded(
-        back.select("total_nodes", "total_edges", "avg_degree", "max_degree",
-                    F.lit(5).alias("communities"), text.alias("distribution")), 6, "avg_degree"
+        back.select("total_nodes", "total_edges", "avg_degree", "max_degree", "communities", "filtered_nodes", "filtered_edges",
+                    text.alias("distribution")), 6, "avg_degree"
     )
 
 
-_GRAPHML = f"{views('links')}, {_METRICS.replace('edges', 'links')}"
-
-
-def _graphml(spark, sf):
-    graph = cut(link_graph(spark, sf), "graph")
-    nodes = dg.vertex_metrics(graph).withColumns({"community_id": F.col("id"), "community_size": F.lit(1)})
+def _graphml(spark, sf, scores=True):
+    """The largest communities with their attributes, as a graph file."""
+    named = cut(named_link_graph(spark, sf).withColumnRenamed("relationship", "relationships"), "graph")
+    graph = named.drop("relationships")
+    membership = cut(label_propagation(graph, 10), "membership")
+    members = sg.members_of_top_communities(membership, _EXPORTED)
+    nodes = dg.vertex_metrics(graph).join(members, "id").join(sg.community_sizes(membership), "community_id")
+    if scores:
+        nodes = nodes.join(pagerank(graph, 20), "id")
     path = scratch_path(spark, "graphml")
-    writers.write_graphml(nodes, graph.withColumn("relationships", F.lit("p2p,atm")), path)
+    writers.write_graphml(nodes, ed.induced(named, members.select("id")), path)
     return path
 
 
-@query("graphml_nodes", f"""{_GRAPHML}
-select id, id as community_id, cast(null as double) as influence_score, cast(1 as bigint) as community_size, round(w_degree, 6) as w_degree,
-degree, 'client' as node_type from metrics""")
+@query("graphml_nodes", f"""{_MEMBERS}, {pagerank_sql('links', 20)}
+select m.id, m.label as community_id, round(influence_score, 6) as influence_score, n as community_size, round(w_degree, 6) as w_degree,
+degree, case when starts_with(m.id, 'client_') then 'client' else 'community' end as node_type
+from member m join metrics using (id) join pr using (id)""")
 def q_graphml_nodes(spark, sf):
-    return rounded(readers.read_graphml_nodes(spark, f"{_graphml(spark, sf)}/nodes"), 6, "w_degree")
+    return rounded(readers.read_graphml_nodes(spark, f"{_graphml(spark, sf)}/nodes"), 6, "w_degree", "influence_score")
 
 
-@query("graphml_edges", f"{_GRAPHML} select src as source, dst as target, weight, 'p2p,atm' as relationships from links")
+@query("graphml_edges", f"""{_MEMBERS} select src as source, dst as target, weight, relationship as relationships from links
+where src in (select id from member) and dst in (select id from member)""")
 def q_graphml_edges(spark, sf):
     return readers.read_graphml_edges(spark, f"{_graphml(spark, sf)}/edges")
 
 
-@query("graphml_completed", f"""{views('links')}, {pagerank_weighted_sql('links', 12)}
-select id, id as community_id, round(r, 8) as influence_score from w12""")
+@query("graphml_completed", f"""{_MEMBERS},
+part as materialized (select src, dst, weight from links where src in (select id from member) and dst in (select id from member)),
+{pagerank_weighted_sql('part', 12)}
+select m.id, m.label as community_id, round(r, 8) as influence_score from member m join w12 using (id)""")
 def q_graphml_completed(spark, sf):
-    """A graph file without scores, read back with the missing scores computed."""
-    path = _graphml(spark, sf)
-    nodes = cut(readers.read_graphml_nodes(spark, f"{path}/nodes"), "nodes")
+    """A graph file without scores, read back with the missing scores of its linked nodes computed."""
+    path = _graphml(spark, sf, scores=False)
     edges = readers.read_graphml_edges(spark, f"{path}/edges")
-    full = reports.completed_nodes(nodes, edges, tol=0.0, max_rounds=12)
+    linked = ed.vertices(edges.select(F.col("source").alias("src"), F.col("target").alias("dst")))
+    nodes = cut(readers.read_graphml_nodes(spark, f"{path}/nodes").join(linked, "id", "left_semi"), "nodes")
+    full = reports.completed_nodes(nodes, edges, rounds=12)
     return rounded(full.select("id", "community_id", "influence_score"), 8, "influence_score")
 
 

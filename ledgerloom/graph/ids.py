@@ -46,9 +46,6 @@ def number_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> Numb
         ends = ends.unionByName(vertices.select(F.col("id").alias("name")))
     names = cut(ends.filter(F.col("name").isNotNull()).distinct(), "names")
     n = names.count()
-    if n <= ROWS_PER_PARTITION:
-        rank = F.row_number().over(Window.orderBy("name"))
-        return Numbering(cut(names.select((rank - 1).cast("long").alias("id"), "name"), "numbers"))
     ranged = cut(
         names.repartitionByRange(partitions_for(n), "name").withColumn("part", F.spark_partition_id()), "ranged"
     )

@@ -36,9 +36,9 @@ def label_propagation(
 ) -> DataFrame:
     """(id, community_id). Starts with every vertex as its own community.
 
-    A fixed number of rounds by default. ``until_stable`` stops as soon as nothing changes
-    (``rounds`` is then the upper bound); simultaneous updates can swing forever on bipartite
-    parts, which ``self_vote`` prevents. Vertices without edges keep their own label.
+    A fixed number of rounds by default. ``until_stable`` stops as soon as nothing changes and
+    raises if something still does after ``rounds``: simultaneous updates can swing forever on
+    bipartite parts, which ``self_vote`` mostly prevents. Vertices without edges keep their own label.
     """
     spark = edges.sparkSession
     adj = adjacency(edges)
@@ -56,6 +56,10 @@ def label_propagation(
                 break
         else:
             labels = written.cut(new) if i % cut_every == 0 or i == rounds else new
+    else:
+        if until_stable:
+            adj.release()
+            raise RuntimeError(f"labels did not settle in {rounds} rounds")
     adj.release()
     result = labels.select("id", F.col("label").alias("community_id"))
     if vertices is not None:

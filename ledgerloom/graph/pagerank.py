@@ -53,10 +53,12 @@ def pagerank_weighted(
     tol: float = 1e-6,
     max_rounds: int = 100,
     vertices: DataFrame | None = None,
+    rounds: int | None = None,
 ) -> DataFrame:
     """(id, influence_score) of the undirected weighted graph; the scores sum to 1.
 
-    Stops when the summed change falls below ``nodes * tol``. Vertices without edges all hold
+    Stops when the summed change falls below ``nodes * tol`` and raises if it doesn't within
+    ``max_rounds``; ``rounds`` asks for so many rounds instead. Vertices without edges all hold
     the same score, which one number on the driver tracks; their mass is spread evenly.
     """
     spark = edges.sparkSession
@@ -69,7 +71,7 @@ def pagerank_weighted(
     written = Rounds(spark, "ranks")
     ranks = out.withColumn("rank", F.lit(1.0 / n))
     idle = 1.0 / n
-    for _ in range(max_rounds):
+    for _ in range(max_rounds if rounds is None else rounds):
         base = (alpha * n_lonely * idle + 1 - alpha) / n
         shares = ranks.select("id", (F.col("rank") / F.col("out")).alias("share"))
         messages = send(adj, shares).select(
@@ -84,8 +86,12 @@ def pagerank_weighted(
         )
         moved = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] + n_lonely * abs(base - idle)
         idle = base
-        if moved < n * tol:
+        if rounds is None and moved < n * tol:
             break
+    else:
+        if rounds is None:
+            adj.release()
+            raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
     adj.release()
     result = ranks.select("id", F.col("rank").alias("influence_score"))
     return result if lonely is None else result.unionByName(lonely.withColumn("influence_score", F.lit(idle)))

@@ -216,8 +216,7 @@ def spend_over_time(tx: DataFrame, unit: str, top: int = 10, rows: int | None =
     return out if rows is None else out.orderBy(F.desc("sum_amount"), "period", "client_id").limit(rows)
 
 
-def transactions_per_community(fact: DataFrame, limit: int = 10_000) -> DataFrame:
-    return (
-        fact.groupBy("community_id").agg(F.count("*").alias("tx_count"))
-        .orderBy(F.desc("tx_count"), F.asc_nulls_last("community_id")).limit(limit)
-    )
+def transactions_per_community(fact: DataFrame, limit: int | None = None) -> DataFrame:
+    """Row counts by community; ``limit`` keeps the largest, as a chart with a row limit does."""
+    counts = fact.groupBy("community_id").agg(F.count("*").alias("tx_count"))
+    return counts if limit is None else counts.orderBy(F.desc("tx_count"), F.asc_nulls_last("community_id")).limit(limit)

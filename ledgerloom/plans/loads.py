@@ -38,6 +38,12 @@ def rates_for(spark: SparkSession, date: str, rates: dict[str, float] = RATES) -
     return rows.select(F.lit(date).cast("date").alias("date"), "currency", "rate")
 
 
+def rates_of_days(days: DataFrame, rates: dict[str, float] = RATES) -> DataFrame:
+    """The rates of every distinct ``date`` of ``days``."""
+    pair = F.explode(F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])).alias("currency", "rate")
+    return days.select("date").distinct().select("date", pair)
+
+
 def load_rates(target: DataFrame, date: str, rates: dict[str, float] = RATES) -> DataFrame:
     """``target`` with the rows of one date replaced."""
     return target.filter(F.col("date") != F.lit(date).cast("date")).unionByName(

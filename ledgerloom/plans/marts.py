@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..graph.degrees import vertex_metrics
@@ -47,7 +47,15 @@ def enriched(tx: DataFrame, communities: DataFrame) -> DataFrame:
     )
 
 
-def graph_fact(existing: DataFrame | None, tx: DataFrame, communities: DataFrame) -> DataFrame:
-    """First load, or a merge that refreshes only the graph features of known transactions."""
-    fresh = enriched(tx, communities)
-    return fresh if existing is None else merged(existing, fresh, "transaction_id", GRAPH_FEATURE_COLUMNS)
+def graph_fact(
+    existing: DataFrame | None, tx: DataFrame, communities: DataFrame, load_time: Column | None = None
+) -> DataFrame:
+    """First load, or a merge that refreshes only the graph features of known transactions.
+
+    ``created_at`` is ``load_time`` (the present time if not given) for new rows and for refreshed ones.
+    """
+    load_time = F.current_timestamp() if load_time is None else load_time
+    fresh = enriched(tx, communities).withColumn("created_at", load_time)
+    if existing is None:
+        return fresh
+    return merged(existing, fresh, "transaction_id", [*GRAPH_FEATURE_COLUMNS, "created_at"])

@@ -72,7 +72,7 @@ def structure_report(edges: DataFrame) -> DataFrame:
             "avg_clustering": average_clustering(edges).scalar(),
             "diameter_lcc": diameter(induced(edges, core)).select("diameter").scalar(),
             "modularity_louvain": modularity(edges, louvain(edges)).scalar(),
-            "modularity_lp": modularity(edges, label_propagation(edges, 20, until_stable=True)).scalar(),
+            "modularity_lp": modularity(edges, label_propagation(edges, 100, until_stable=True, self_vote=True)).scalar(),
         }
     )
 

@@ -25,21 +25,45 @@ def _schema_of(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def publish(df: DataFrame, name: str, root: str) -> str:
-    """Write ``df`` to a new folder under ``root`` and let the table ``name`` point at it."""
+    """Write ``df`` to a new folder under ``root`` and let the table ``name`` point at it.
+
+    With the same columns the table's location moves in one step. With other columns the old
+    table steps aside under another name until the new one stands; a publish or
+    :func:`recover` after a crash between the two brings it back first.
+    """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    recover(spark, name)
     _point(spark, name, path, df)
     return path
 
 
+def _aside(name: str) -> str:
+    return f"{name}__before"
+
+
+def recover(spark: SparkSession, name: str) -> None:
+    """After a crash during a change of columns: the old table returns if there is no new one."""
+    if spark.catalog.tableExists(_aside(name)):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {_aside(name)}")
+        else:
+            spark.sql(f"ALTER TABLE {_aside(name)} RENAME TO {name}")
+
+
 def _point(spark: SparkSession, name: str, path: str, df: DataFrame) -> None:
     if spark.catalog.tableExists(name):
         if _schema_of(spark.table(name)) == _schema_of(df):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {_aside(name)}")
+    _create(spark, name, path, df)
+    recover(spark, name)
+
+
+def _create(spark: SparkSession, name: str, path: str, df: DataFrame) -> None:
     columns = ", ".join(f"`{c}` {t}" for c, t in _schema_of(df))
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
 
@@ -72,6 +96,9 @@ def truncate_and_load(df: DataFrame, name: str, root: str) -> str:
     )
 
 
+SLICE_TASKS = 16
+
+
 def replace_slice(df: DataFrame, path: str, column: str = "date", partition: str | None = None) -> None:
     """Replace the rows of every value of ``column`` that occurs in ``df``; others stay.
 
@@ -85,7 +112,9 @@ def replace_slice(df: DataFrame, path: str, column: str = "date", partition: str
         # Written first: the partitions read here are the ones about to be overwritten.
         df = cut(kept.select(*df.columns).unionByName(df), "slice")
     partition = partition or column
-    df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    # A slice may hold a third of all rows: it is dealt over tasks by a hash of the whole row as well.
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SLICE_TASKS))
+    df.repartition(partition, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
 

@@ -139,12 +139,17 @@ def test_graph_fact_merge_refreshes_features_only(spark):
         "transaction_id string, client_id string, datetime timestamp, amount double, currency string, merchant string, "
         "transaction_type string, ip_network string, category string")
     table = spark.createDataFrame([("c1", "A", 1.0, 3, 2.0, 1)], CLIENT_COMMUNITIES)
-    first = marts.graph_fact(None, tx, table)
+    at = lambda day: F.lit(f"2024-01-0{day}").cast("timestamp")
+    first = marts.graph_fact(None, tx.filter("transaction_id = 't1'"), table, at(1))
+    assert [r.created_at.day for r in first.collect()] == [1]
     moved = spark.createDataFrame([("c1", "B", 5.0, 4, 2.5, 1)], CLIENT_COMMUNITIES)
-    second = marts.graph_fact(first, tx.withColumn("category", F.lit("other")), moved)
+    second = marts.graph_fact(first, tx.withColumn("category", F.lit("other")), moved, at(2))
     got = {r.transaction_id: r for r in second.collect()}
     assert (got["t1"].community_id, got["t1"].category) == ("B", "p2p")
     assert got["t2"].community_id is None and len(got) == 2
+    assert got["t1"].created_at.day == got["t2"].created_at.day == 2  # refreshed, and new
+    kept = marts.graph_fact(second, tx.filter("transaction_id = 't2'"), moved, at(3)).collect()
+    assert {r.transaction_id: r.created_at.day for r in kept} == {"t1": 2, "t2": 3}
 
 
 def test_statistics_invariants(spark, tmp_path):
@@ -192,3 +197,23 @@ def test_partitions_follow_the_data():
     assert session.partitions_for(0) == 1
     assert session.partitions_for(10 * session.ROWS_PER_PARTITION) == 10
     assert session.partitions_for(10**15) == session.MAX_PARTITIONS
+
+
+def test_publish_survives_a_crash_while_columns_change(spark, tmp_path, monkeypatch):
+    name = "crash_table"
+    writers.publish(spark.createDataFrame([(1,)], "a int"), name, str(tmp_path))
+
+    def crash(*args):
+        raise RuntimeError("crash")
+
+    other = spark.createDataFrame([(2, "x")], "a int, b string")
+    with monkeypatch.context() as m:
+        m.setattr(writers, "_create", crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            writers.publish(other, name, str(tmp_path))
+    writers.recover(spark, name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1,)]
+    writers.publish(other, name, str(tmp_path))
+    assert [tuple(r) for r in spark.table(name).collect()] == [(2, "x")]
+    assert not spark.catalog.tableExists(writers._aside(name))
+    spark.sql(f"DROP TABLE {name}")
