@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -93,6 +94,16 @@ def split_words(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators, -1), "")
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of steps that are over.
+
+    It does so when the driver's JVM collects their plans, which may be long after the results
+    have been written to the shared folder.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 ROWS_PER_CHUNK = 200_000
 
 

@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut
-from .common import query, row_code, table, texts
+from ..session import Rounds, cut
+from .common import query, release, row_code, table, texts
 from .shingles import _BYTE, _power, mix, slices
 
 MATCH = 200
@@ -257,13 +258,18 @@ def _judge_bucket(match: int, keep: str):
     return run
 
 
-def removed_bytes(n: int, hits: list[dict], match: int) -> np.ndarray:
-    """Which of ``n`` bytes are covered by removed strings."""
-    delta = np.zeros(n + 1, np.int32)
-    for hit in hits:
-        at = np.flatnonzero(np.unpackbits(np.frombuffer(hit["bits"], np.uint8))) + hit["begin"]
-        np.add.at(delta, at, 1)
-        np.add.at(delta, at + match, -1)
+def removed_bytes(edges: np.ndarray, owner: np.ndarray, begin: np.ndarray, bits: list[bytes], match: int) -> np.ndarray:
+    """Which bytes of concatenated texts are covered by removed strings.
+
+    Hit k is in the text ``owner[k]``; its bits tell which of the strings from ``begin[k]`` on go.
+    """
+    delta = np.zeros(edges[-1] + 1, np.int64)
+    if len(bits):
+        width = max(map(len, bits))
+        flags = np.frombuffer(b"".join([x.ljust(width, b"\0") for x in bits]), np.uint8).reshape(len(bits), width)
+        hit, place = np.nonzero(np.unpackbits(flags, axis=1))
+        at = edges[owner[hit]] + begin[hit] + place
+        delta += np.bincount(at, minlength=len(delta)) - np.bincount(at + match, minlength=len(delta))
     return np.cumsum(delta[:-1]) > 0
 
 
@@ -271,23 +277,37 @@ def _cut_rows(match: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
-                out: dict[str, list] = {k: [] for k in ("_n_bytes", "_n_removed", "_n_spans", "_kept")}
-                for text, hits, copy in zip(*[batch.column(c).to_pylist() for c in ("_text", "_hits", "_copy")]):
-                    data = (text or "").encode()
-                    gone = removed_bytes(len(data), hits or [], match)
-                    if copy > 1 and len(data) >= match:  # an equal row came before
-                        gone[:] = True
-                    kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
-                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
-                    if with_text:
-                        value = kept.decode("utf-8", "ignore") if text is not None else None
+                texts_, hits = batch.column("_text").to_pylist(), batch.column("_hits")
+                each = [(t or "").encode() for t in texts_]
+                edges = np.cumsum([0] + [len(d) for d in each])
+                flat = hits.flatten()
+                counts = pa.compute.fill_null(pa.compute.list_value_length(hits), 0).to_numpy(zero_copy_only=False)
+                owner = np.repeat(np.arange(len(each)), counts)
+                gone = removed_bytes(edges, owner, flat.field("begin").to_numpy(zero_copy_only=False), flat.field("bits").to_pylist(), match)
+                for i in np.flatnonzero(batch.column("_copy").to_numpy() > 1):  # an equal row came before
+                    if len(each[i]) >= match:
+                        gone[edges[i]:edges[i + 1]] = True
+                first = gone.copy()
+                first[1:] &= ~gone[:-1]
+                at_edge = edges[:-1][edges[:-1] < edges[1:]]
+                first[at_edge] = gone[at_edge]
+                n_removed = np.diff(np.concatenate(([0], np.cumsum(gone)))[edges])
+                n_spans = np.diff(np.concatenate(([0], np.cumsum(first)))[edges])
+                left = np.frombuffer(b"".join(each), np.uint8)[~gone].tobytes()
+                kept_edges = np.concatenate(([0], np.cumsum(np.diff(edges) - n_removed)))
+                kept = []
+                for i, (a, b) in enumerate(zip(kept_edges[:-1], kept_edges[1:])):
+                    if not with_text:
+                        kept.append(hashlib.sha256(left[a:b]).hexdigest())
+                    elif n_removed[i]:
+                        kept.append(left[a:b].decode("utf-8", "ignore"))
                     else:
-                        value = hashlib.sha256(kept).hexdigest()
-                    for values, v in zip(out.values(), (len(data), int(gone.sum()), spans, value)):
-                        values.append(v)
+                        kept.append(texts_[i])
                 made = {c: batch.column(c) for c in batch.schema.names if c not in ("_text", "_hits", "_copy")}
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_pydict(made | {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+                yield pa.RecordBatch.from_pydict(made | {
+                    "_n_bytes": pa.array(np.diff(edges), pa.int64()), "_n_removed": pa.array(n_removed, pa.int64()),
+                    "_n_spans": pa.array(n_spans, pa.int64()), "_kept": pa.array(kept, pa.string()),
+                })
 
     return run
 
@@ -303,9 +323,12 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
     whole = rows.dtypes[0][1] in ("bigint", "int", "smallint", "tinyint")
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)) if whole else F.col("row")
     rows = rows.select("text", "row", place.alias("place"))
-    found = cut(rows.mapInArrow(_anchor_rows(match), _ANCHOR), "anchors")
+    spark = docs.sparkSession
+    steps = Rounds(spark, "anchors", keep=1)  # all anchors go once the shared ones are written
+    found = steps.cut(rows.mapInArrow(_anchor_rows(match), _ANCHOR))
     several = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    found = cut(found.join(several, "gram"), "shared")
+    found = steps.cut(found.join(several, "gram"))
+    release(spark)
     first_place = F.when(~F.col("again"), F.col("place"))
     least = lambda c: F.min_by(c, first_place).alias(c)
     contexts = cut(
@@ -335,7 +358,9 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
     hits = found.join(verdicts, ["gram", "context"]).select(
         "row", (F.col("pos") - F.col("before")).alias("begin"), F.when(is_first, F.col("first")).otherwise(F.col("rest")).alias("bits")
     ).filter(F.hex("bits").rlike("[^0]"))
-    return hits.groupBy("row").agg(F.collect_list(F.struct("begin", "bits")).alias("hits"))
+    hits = cut(hits.groupBy("row").agg(F.collect_list(F.struct("begin", "bits")).alias("hits")), "hits")
+    release(spark)
+    return hits
 
 
 def _cut_out(docs: DataFrame, match: int, keep: str, id_col: str, text_col: str, columns: list[str], with_text: bool) -> DataFrame:
@@ -343,12 +368,21 @@ def _cut_out(docs: DataFrame, match: int, keep: str, id_col: str, text_col: str,
     hits = repeated_strings(docs, match, keep, id_col, text_col).select(F.col("row").alias("_hit_row"), F.col("hits").alias("_hits"))
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
     rows = docs.select(*own, F.col(f"`{text_col}`").alias("_text"), row_code(id_col, text_col).alias("_row"))
-    rows = rows.join(hits, F.col("_row") == F.col("_hit_row"), "left")
-    if keep == "first":
+    same = F.col("_row") == F.col("_hit_row")
+    listed = hits.select("_hit_row")
+    # Rows with equal id and text share a code; all but one of them are later copies of the whole text.
+    copies = keep == "first" and not rows.groupBy("_row").count().filter("count > 1").isEmpty()
+    if not copies and hits.count() <= BROADCAST_ROWS:
+        # Only texts that lose something are shuffled.
+        whole = rows.join(F.broadcast(listed), same, "left_anti").withColumn("_hits", F.lit(None).cast(hits.schema["_hits"].dataType))
+        rows = rows.join(F.broadcast(listed), same, "left_semi").join(hits, same).drop("_hit_row").unionByName(whole)
+    else:
+        rows = rows.join(hits, same, "left").drop("_hit_row")
+    if copies:
         rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0))))
     else:
         rows = rows.withColumn("_copy", F.lit(1))
-    rows = rows.drop("_row", "_hit_row")
+    rows = rows.drop("_row")
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(columns)]
     fields += [T.StructField(c, T.LongType()) for c in ("_n_bytes", "_n_removed", "_n_spans")] + [T.StructField("_kept", T.StringType())]
     return rows.mapInArrow(_cut_rows(match, with_text), T.StructType(fields))
