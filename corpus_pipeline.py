@@ -30,7 +30,9 @@ def _near_copies(spark, docs, sf_dir):
 def _repeats(spark, docs, sf_dir):
     """All documents; of a passage that occurs again, the first copy stays. n_chars counts what is left."""
     ready(spark)
-    return repeats.dedup(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return repeats.dedup(docs).withColumn(
+        "n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars")
+    )
 
 
 def _decontaminate(spark, docs, sf_dir):
