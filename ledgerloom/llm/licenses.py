@@ -26,7 +26,7 @@ from .common import folded, query, row_code, split_words, table
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MIN_COSINE = 0.6
 FILE_SHARE = 0.25  # of a license file's characters in its matched line
-MAX_TERMS = 100_000
+MAX_TERMS = 20_000
 
 # Names and the notices by which texts declare them.
 TEMPLATES = {
@@ -98,28 +98,38 @@ def line_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     if not found:
         return spark.createDataFrame([], empty.format(rows.dtypes[0][1]))
-    terms = spark.createDataFrame([(w, idf[w], n, x) for n, v in found.items() for w, x in v.items()], "word string, idf double, license string, x double")
     wanted = F.array(*[F.lit(w) for w in cues(templates, min_cosine)])
     rows = rows.select("doc_id", row_code().alias("code"), F.length("text").alias("chars"), F.posexplode_outer(F.split("text", "\n", -1)).alias("line", "content"))
     rows = rows.filter("content != ''").withColumn("words", split_words(folded(F.col("content")), SEPARATORS))
     rows = rows.filter(F.arrays_overlap("words", wanted)).select(
-        "doc_id", "code", "line", (F.length("content") / F.col("chars")).alias("share"), F.explode("words").alias("word")
+        "doc_id", "code", "line", (F.length("content") / F.col("chars")).alias("share"), F.sort_array("words").alias("words")
     )
-    counted = rows.groupBy("doc_id", "code", "line", "share", "word").agg(F.count("*").alias("times"))
-    # Rows that repeat are equal in all of these; their counts are multiples, which a cosine doesn't see.
-    weight = terms.select("word", "idf").distinct()
-    valued = counted.join(F.broadcast(weight), "word", "left").withColumn("value", F.col("times") * F.coalesce("idf", F.lit(unknown)))
-    norms = valued.groupBy("doc_id", "code", "line", "share").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    dots = valued.join(F.broadcast(terms.select("word", "license", "x")), "word").groupBy(
-        F.col("doc_id").alias("d"), F.col("code").alias("c"), F.col("line").alias("l"), "license"
-    ).agg(F.sum(F.col("value") * F.col("x")).alias("dot"))
-    same = norms["doc_id"].eqNullSafe(dots["d"]) & (norms["code"] == dots["c"]) & (norms["line"] == dots["l"])
-    cosine = F.round(F.col("dot") / F.col("norm"), 6)
-    matched = norms.join(dots, same).select("doc_id", "code", "line", "share", "license", cosine.alias("cosine")).filter(F.col("cosine") >= min_cosine)
-    best = F.max(F.struct("cosine", _last_first("license").alias("order"), "license")).alias("best")
-    return matched.groupBy("doc_id", "code", "line", "share").agg(best).select(
-        "doc_id", "code", "line", "best.license", "best.cosine", "share"
+    # Counts of equal words are distances between the ends of their runs in sorted order.
+    is_end = lambda i: F.get("words", i + 1).isNull() | (F.get("words", i) != F.get("words", i + 1))
+    rows = rows.withColumn("ends", F.filter(F.sequence(F.lit(0), F.size("words") - 1), is_end))
+    known = _map(idf)
+    value = lambda e, j: (e - F.coalesce(F.get("ends", j - 1), F.lit(-1))) * F.coalesce(F.element_at(known, F.get("words", e)), F.lit(unknown))
+    rows = rows.withColumn("vector", F.transform("ends", lambda e, j: F.struct(F.get("words", e).alias("word"), value(e, j).alias("value"))))
+    total = lambda v, part: F.aggregate(v, F.lit(0.0), lambda a, p: a + part(p))
+    rows = rows.select(
+        "doc_id", "code", "line", "share", F.sqrt(total("vector", lambda p: p["value"] * p["value"])).alias("norm"),
+        F.filter("vector", lambda p: F.element_at(known, p["word"]).isNotNull()).alias("vector"),
     )
+    scores = [
+        F.struct(
+            F.round(total("vector", lambda p, m=_map(v): p["value"] * F.coalesce(F.element_at(m, p["word"]), F.lit(0.0))) / F.col("norm"), 6).alias("cosine"),
+            F.lit(-place).alias("order"), F.lit(name).alias("license"),
+        )
+        for place, (name, v) in enumerate(found.items())
+    ]
+    best = F.filter(F.array(F.array_max(F.array(*scores))), lambda b: b["cosine"] >= min_cosine)
+    # Generated, so that the filter stays above: pushed below, it would compute the counts anew for every word.
+    rows = rows.select("doc_id", "code", "line", "share", F.explode_outer(best).alias("best"))
+    return rows.filter("best is not null").select("doc_id", "code", "line", "best.license", "best.cosine", "share")
+
+
+def _map(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
 def _last_first(name: str) -> Column:
