@@ -265,9 +265,13 @@ def q_betweenness(spark, sf):
     return paths.betweenness(link_graph(spark, sf), k=16)
 
 
-@query("sampled_subgraph")
+@query("sampled_subgraph", f"""{views('links')}, v as (select src as id from links union select dst from links),
+drawn as materialized (select id from v order by sha256(id || ':42'), id limit 700),
+near as materialized (select id from drawn union select dst from links where src in (select id from drawn)
+  union select src from links where dst in (select id from drawn))
+select src, dst, weight from links where src in (select id from near) and dst in (select id from near)""")
 def q_sampled(spark, sf):
-    return sg.sampled_subgraph(link_graph(spark, sf), 20)
+    return sg.sampled_subgraph(link_graph(spark, sf))
 
 
 # --- communities and subgraphs -------------------------------------------------------------------

@@ -30,7 +30,7 @@ def top_nodes(table: DataFrame, n: int, by: str = "influence_score", key: str =
 def random_neighbourhood(edges: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """(id): ``k`` nodes drawn by seeded hash, with their neighbours."""
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    drawn = nodes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(k)
+    drawn = nodes.orderBy(F.sha2(F.concat("id", F.lit(f":{seed}")), 256), "id").limit(k)
     out = edges.select(F.col("src").alias("id"), F.col("dst").alias("other"))
     back = edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))
     near = out.unionByName(back).join(drawn, "id", "left_semi").select(F.col("other").alias("id"))
