@@ -12,6 +12,7 @@ of a corpus at once would move many times its size, so suffixes are brought toge
    suffix order; previous and next smaller positions in that order give the longest previous
    factor of each (and the longest later one, with positions reversed). Lengths are exact up to
    ``match``, which is all that is asked.
+   Grams with more contexts than a task should hold are divided into single strings first.
 4. Verdicts return to all members of a context, and each text takes the union of its strings.
 
 ``keep="first"`` removes later copies and keeps the first (by id, then position);
@@ -38,6 +39,7 @@ MATCH = 200
 GRAM = 40
 CONTEXTS_PER_BUCKET = 2_000
 STRINGS_AT_ONCE = 100_000
+CROWDED = 20_000  # different contexts of a gram (300 bytes each) beyond which they are divided
 BROADCAST_ROWS = 1_000_000  # row codes (8 bytes) that may be broadcast
 
 # --- arrays ----------------------------------------------------------------------------------
@@ -232,6 +234,26 @@ def _context_bytes(match: int):
     return run
 
 
+def _single_strings(match: int):
+    """Every string of the asked contexts as two codes of its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, asked in zip(batch.column("text"), batch.column("asked").to_pylist()):
+                data = np.frombuffer(text.as_py().encode(), np.uint8)
+                begin = np.array([x["pos"] - x["before"] for x in asked], np.int64)
+                n = np.array([x["strings"] for x in asked], np.int64)
+                of = np.repeat(np.arange(len(asked)), n)
+                start = np.repeat(begin, n) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                one, two = string_codes(data, start, match), string_codes(data[::-1], len(data) - match - start, match)
+                columns = {k: pa.array(np.array([x[k] for x in asked], np.int64)[of]) for k in ("row", "place", "copies")}
+                yield pa.RecordBatch.from_pydict(columns | {
+                    "begin": pa.array(start, pa.int64()), "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
+                })
+
+    return run
+
+
 def _judge_bucket(match: int, keep: str):
     def run(t: pa.Table) -> pa.Table:
         rows, seen = [], set()
@@ -326,7 +348,8 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
     spark = docs.sparkSession
     steps = Rounds(spark, "anchors", keep=1)  # all anchors go once the shared ones are written
     found = steps.cut(rows.mapInArrow(_anchor_rows(match), _ANCHOR))
-    several = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # Written, so that both sides of the join are plain shuffles and Spark can split a hot gram's partition.
+    several = cut(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     found = steps.cut(found.join(several, "gram"))
     release(spark)
     first_place = F.when(~F.col("again"), F.col("place"))
@@ -336,6 +359,11 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
         .agg(F.count("*").alias("copies"), F.min("place").alias("place"), least("row"), least("pos"), least("before"), least("strings")),
         "contexts",
     )
+    crowded = cut(contexts.groupBy("gram").count().filter(F.col("count") > CROWDED).select("gram"), "crowded")
+    extra = None
+    if not crowded.isEmpty():
+        extra = _crowded_hits(rows, found, contexts.join(crowded, "gram", "left_semi"), match, keep)
+        contexts = cut(contexts.join(crowded, "gram", "left_anti"), "contexts")
     n = contexts.count()
     asked = contexts.groupBy("row").agg(
         F.collect_list(F.struct("gram", "context", "place", "pos", "before", "strings", "copies")).alias("asked")
@@ -356,13 +384,44 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
     )
     is_first = (F.col("row") == F.col("first_row")) & (F.col("pos") == F.col("first_pos"))
     hits = found.join(verdicts, ["gram", "context"]).select(
-        "row", (F.col("pos") - F.col("before")).alias("begin"), F.when(is_first, F.col("first")).otherwise(F.col("rest")).alias("bits")
+        "row", (F.col("pos") - F.col("before")).cast("long").alias("begin"), F.when(is_first, F.col("first")).otherwise(F.col("rest")).alias("bits")
     ).filter(F.hex("bits").rlike("[^0]"))
+    if extra is not None:
+        hits = hits.unionByName(extra)
     hits = cut(hits.groupBy("row").agg(F.collect_list(F.struct("begin", "bits")).alias("hits")), "hits")
     release(spark)
     return hits
 
 
+def _crowded_hits(rows: DataFrame, found: DataFrame, contexts: DataFrame, match: int, keep: str) -> DataFrame:
+    """(row, begin, bits) for grams with more different contexts than one task should hold.
+
+    A passage that many texts share, each with other text around it, makes one context per text.
+    These are divided into their single strings, which are counted by code where they are first;
+    most are alone or all alike, so no task gathers them.
+    """
+    asked = contexts.groupBy("row").agg(
+        F.collect_list(F.struct("row", "place", "pos", "before", "strings", "copies")).alias("asked")
+    )
+    singles = cut(
+        rows.select("row", "text").join(asked, "row").select("text", "asked")
+        .mapInArrow(_single_strings(match), "row long, place long, copies long, begin long, one long, two long")
+        .dropDuplicates(["row", "begin"]),
+        "singles",
+    )
+    heads = singles.groupBy("one", "two").agg(F.sum("copies").alias("total"), F.min(F.struct("place", "begin")).alias("head"))
+    judged = singles.join(cut(heads.filter("total > 1"), "heads"), ["one", "two"])
+    if keep == "first":
+        judged = judged.filter(F.struct("place", "begin") != F.col("head"))
+    first = judged.select("row", "begin", F.unhex(F.lit("80")).alias("bits"))
+    # Other members of a context that occurs again lose all its strings.
+    ends = F.array(*[F.lit(x) for x in ("", "80", "C0", "E0", "F0", "F8", "FC", "FE")])
+    ones = F.unhex(F.concat(F.expr("repeat('FF', cast(strings as int) div 8)"), F.get(ends, F.col("strings") % 8)))
+    several = contexts.filter("copies > 1").select("gram", "context", F.col("row").alias("first_row"), F.col("pos").alias("first_pos"))
+    rest = found.join(several, ["gram", "context"]).filter((F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos")))
+    return first.unionByName(rest.select("row", (F.col("pos") - F.col("before")).cast("long").alias("begin"), ones.alias("bits")))
+
+
 def _cut_out(docs: DataFrame, match: int, keep: str, id_col: str, text_col: str, columns: list[str], with_text: bool) -> DataFrame:
     """``columns`` of each row with its _n_bytes, _n_removed, _n_spans and _kept (text or its SHA-256)."""
     hits = repeated_strings(docs, match, keep, id_col, text_col).select(F.col("row").alias("_hit_row"), F.col("hits").alias("_hits"))

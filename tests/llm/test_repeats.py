@@ -17,6 +17,8 @@ def _texts():
     shared, other = make(60), make(45)
     out = [make(80) + " " + shared + " " + make(70), shared + make(5), make(3) + shared[20:] + make(9), other + make(4) + other]
     out += [make(150), make(40) + shared[:150], "x" * 700, "x" * 250, "", None, "short", out[0]]
+    for _ in range(9):  # one passage, other text around it
+        out.append(make(rnd.randint(3, 60)) + " " + other + " " + make(rnd.randint(3, 60)))
     base = make(120)
     for _ in range(6):  # near copies
         words = base.split(" ")
@@ -42,8 +44,9 @@ def test_psv_and_lpf_against_plain_versions():
     assert got.tolist() == want
 
 
-@pytest.mark.parametrize("keep", ["none", "first"])
-def test_digest_against_all_strings(spark, keep):
+@pytest.mark.parametrize("keep,crowded", [("none", 20_000), ("first", 20_000), ("none", 2), ("first", 2)])
+def test_digest_against_all_strings(spark, monkeypatch, keep, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
     rows = [(i, t, 1, "x") for i, t in enumerate(_texts())]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.digest(spark.createDataFrame(rows, DOCS), keep=keep).collect()}
     for d, n, kept, spans in repeated_bytes([r[:2] for r in rows], keep=keep):
