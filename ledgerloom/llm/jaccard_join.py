@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..graph.components import connected_components
 from ..session import cut
-from .common import WHITE, free_name, keep_rows, query, row_code, table, texts
+from .common import WHITE, free_name, keep_rows, query, release, row_code, table, texts
 from .shingles import mix, shingle_sets, slices
 
 SHINGLE = 4
@@ -442,18 +442,21 @@ class Join:
         found = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1.0).alias("weight")))
         return found.select(F.col("id").alias("set"), F.col("component").alias("comp"))
 
-    def open_pairs(self, lists: DataFrame, comps: DataFrame, links: DataFrame, nearest: bool) -> DataFrame:
-        members = lists.filter("a = b").select("key", F.col("a").alias("set")).distinct()
-        named = members.join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
-        still_open = (
+    def still_open(self, members: DataFrame, comps: DataFrame) -> DataFrame:
+        """(key, set, comp) of the lists whose sets are in two components or more."""
+        named = members.select("key", "set").join(comps, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
+        keys = (
             named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
             .filter("low != high").select("key")
         )
+        return cut(named.join(keys, "key"), "open")
+
+    def open_pairs(self, members: DataFrame, links: DataFrame, nearest: bool) -> DataFrame:
         answers = links.groupBy(F.col("b").alias("set")).agg(F.min("a").alias("lead")).join(
             links.select(F.col("b").alias("set"), F.col("a").alias("lead"), "differ"), ["set", "lead"]
         )
         rows = (
-            named.join(still_open, "key").join(self.sets.select("set", "n", "bits"), "set").join(answers, "set", "left")
+            members.join(self.sets.select("set", "n", "bits"), "set").join(answers, "set", "left")
             .select("key", "set", "comp", "n", F.coalesce("lead", "set").alias("lead"), F.coalesce("differ", F.lit(0)).alias("differ"), "bits")
         )
         # A set without a leader, or that leads itself, is compared directly.
@@ -464,12 +467,19 @@ class Join:
 
     def run(self) -> DataFrame:
         """(doc_id, row, n, component): each row of the table, and the smallest id that links reach from it."""
+        spark = self.rows.sparkSession
         lists = self.lists()
+        release(spark)
         leaders = lists.filter("a < b").select("a", "b").distinct()
         links = self.compared(self.near(leaders), "leaders")
         comps = cut(self.components(links), "first")
+        members = lists.filter("a = b").select("key", F.col("a").alias("set")).distinct()
         for step, nearest in (("near", True), ("nearer", True), ("open", False)):
-            more = self.compared(self.open_pairs(lists, comps, links, nearest), step)
+            members = self.still_open(members, comps)  # lists that are settled don't come back
+            release(spark)
+            if members.isEmpty():
+                break
+            more = self.compared(self.open_pairs(members, links, nearest), step)
             if not more.isEmpty():
                 links = links.unionByName(more)
                 comps = cut(self.components(links), f"{step}-components")
