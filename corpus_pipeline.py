@@ -13,7 +13,7 @@ from ledgerloom.llm import decontaminate, jaccard_join, packing, repeats, toxici
 from ledgerloom.llm.common import ready, table
 from ledgerloom.session import cut
 
-SHINGLE, PERCENT = 5, 80  # near copies: five words, a similarity of 0.8 or more
+SHINGLE, PERCENT = 4, 85  # near copies as the join's contract has them: four words, a similarity of 0.85 or more
 
 
 def _toxicity(spark, docs, sf_dir):
