@@ -473,8 +473,8 @@ class Join:
         leaders = lists.filter("a < b").select("a", "b").distinct()
         links = self.compared(self.near(leaders), "leaders")
         comps = cut(self.components(links), "first")
-        members = lists.filter("a = b").select("key", F.col("a").alias("set")).distinct()
-        for step, nearest in (("near", True), ("nearer", True), ("open", False)):
+        members = lists.filter("a = b").select("key", F.col("a").alias("set"))
+        for step, nearest in (("near", True), ("open", False)):
             members = self.still_open(members, comps)  # lists that are settled don't come back
             release(spark)
             if members.isEmpty():

@@ -57,7 +57,7 @@ def test_each_stage_on_its_own_input(spark, sf_dir):
             assert not gone - toxic and len(gone) > 0.8 * len(toxic)
             assert all(after[d] == before[d] for d in after)
         elif name == "jaccard_join":
-            assert set(after) == {d for d, n, c in jaccard_components(rows, 5, 80) if c == d}
+            assert set(after) == {d for d, n, c in jaccard_components(rows, corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT) if c == d}
         elif name == "suffix_repeats":
             assert {d: (t or "").encode() for d, t in after.items()} == {d: k for d, _, k, _ in repeated_bytes(rows, keep="first")}
         elif name == "decontamination":
