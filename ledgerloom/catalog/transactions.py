@@ -212,24 +212,25 @@ def q_fill(spark, sf):
     return agg.group_counts(prepare_transactions(masked_orders(spark, sf)), "merchant", "device_type")
 
 
-_PROFILED = ["transaction_id", "client_id", "currency", "merchant", "transaction_type", "ip_address", "region", "device_type"]
+_PROFILED = ["transaction_id", "client_id", "currency", "merchant", "transaction_type", "ip_address", "region", "device_type", "datetime", "amount", "session_id", "recipient_id"]
+_COLUMN_TYPES = {"datetime": "timestamp", "amount": "double", "registration_date": "date"}
 
 
 @query("column_profile", f"{views('tx_orders')} " + " union all ".join(
-    f"select '{c}' as column_name, 'string' as data_type, (select count(*) from tx_orders) as n_rows, "
+    f"select '{c}' as column_name, '{_COLUMN_TYPES.get(c, 'string')}' as data_type, (select count(*) from tx_orders) as n_rows, "
     f"count(distinct {c}) as distinct_values from tx_orders" for c in _PROFILED))
 def q_profile(spark, sf):
-    return quality.column_profile(tx_orders(spark, sf).select(*_PROFILED))
+    return quality.column_profile(tx_orders(spark, sf))
 
 
-_CLIENT_PROFILED = ["client_id", "first_name", "last_name", "email", "passport_id", "status"]
+_CLIENT_PROFILED = ["client_id", "first_name", "last_name", "email", "passport_id", "status", "registration_date"]
 
 
 @query("client_profile", f"{views('clients')} " + " union all ".join(
-    f"select '{c}' as column_name, 'string' as data_type, (select count(*) from clients) as n_rows, "
+    f"select '{c}' as column_name, '{_COLUMN_TYPES.get(c, 'string')}' as data_type, (select count(*) from clients) as n_rows, "
     f"count(distinct {c}) as distinct_values from clients" for c in _CLIENT_PROFILED))
 def q_client_profile(spark, sf):
-    return quality.column_profile(clients(spark, sf).select(*_CLIENT_PROFILED))
+    return quality.column_profile(clients(spark, sf))
 
 
 @query("schema_evolve", f"""{views('tx_events')}
