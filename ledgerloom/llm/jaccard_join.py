@@ -21,7 +21,9 @@ Nothing is capped: a list of any length is read, and no pair that could be linke
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,36 +57,57 @@ class Link:
         """Most members in which such sets differ."""
         return total - 2 * self.common(total)
 
-    def differ_at_most(self, size: int) -> int:
-        """Most members in which linked sets of up to ``size`` members differ."""
-        return 2 * size * (100 - self.percent) // (100 + self.percent)
+    def differ_at_most(self, smaller: int) -> int:
+        """Most members in which linked sets differ, the smaller of which has up to ``smaller`` members."""
+        return (smaller + 100 * smaller // self.percent) * (100 - self.percent) // (100 + self.percent)
 
     def classes(self, largest: int) -> np.ndarray:
-        """Smallest size of each size class; linked sets are in one class or in neighbours."""
-        ratio = (100 / self.percent) ** 3
+        """Smallest size of each size class; of linked sets the larger one is in the smaller one's class or near it."""
+        ratio = 100 / self.percent
         out = [1]
         while out[-1] <= largest:
             out.append(max(out[-1] + 1, int(np.ceil(out[-1] * ratio))))
         return np.array(out + [max(out[-1] + 1, int(np.ceil(out[-1] * ratio)))], dtype=np.int64)
 
 
-def slack(differ: int) -> int:
-    return 5 + differ // 20
+@functools.lru_cache(65536)
+def slack(differ: int, size: int) -> int:
+    """Blocks beyond ``differ`` + 1, so many that unlike sets of ``size`` members meet in the fewest lists.
+
+    With few, sets leave more blocks empty than that and meet in the lists of empty blocks. With many,
+    blocks are short, and sets meet where they have nothing but a member of a line that both contain.
+    """
+    def meetings(spare: int) -> float:
+        blocks = differ + 1 + spare
+        load = size / blocks
+        alone = math.exp(-load)
+        spread = math.sqrt(blocks * alone * (1 - (1 + load) * alone)) + 1e-9
+        exceed = math.erfc((spare + 0.5 - blocks * alone) / spread / math.sqrt(2)) / 2
+        return exceed**2 * blocks * alone**2 + 10 * alone**2
+
+    tried, spare = [], 1
+    while spare <= 5 + differ:
+        tried.append(spare)
+        spare += 1 + spare // 16
+    return min(tried, key=meetings)
 
 
 def index_keys(codes: np.ndarray, link: Link, bounds: np.ndarray) -> list[np.ndarray]:
-    """Keys of the index lists that a set of sorted codes is in."""
+    """Keys of the index lists that a set of sorted codes is in.
+
+    The lists of a size class bring sets of that class together with each other and with the larger
+    sets that they may link with, so a set is in its own class and in those of smaller partners.
+    The smaller partner's size bounds the differences, which keeps blocks few and long.
+    """
     n = len(codes)
     own = int(np.searchsorted(bounds, n, side="right")) - 1
+    least = int(np.searchsorted(bounds, -(-link.percent * n // 100), side="right")) - 1
     out = []
-    for c in (own, own + 1):
-        low, high = int(bounds[c]), int(bounds[c + 1]) - 1
-        if 100 * n < link.percent * low:
-            continue
-        differ = link.differ_at_most(high)
+    for c in range(max(least, 0), own + 1):
+        differ = link.differ_at_most(int(bounds[c + 1]) - 1)
         if not differ:
             continue  # only equal sets link
-        spare = slack(differ)
+        spare = slack(differ, int(bounds[c]))
         blocks = differ + 1 + spare
         block = ((codes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))

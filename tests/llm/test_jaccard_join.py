@@ -92,3 +92,29 @@ def test_lists_over_batches_are_like_one_batch():
     for size in (1, 2, 7, 50):
         m, p = run(size)
         assert several <= m and stars <= p
+
+
+def test_keys_of_the_pipelines_bar_are_few_and_link_nothing_by_empty_blocks():
+    """At 0.8 unlike sets that share a line meet in few lists, and linked sets of all sizes still meet."""
+    rng = np.random.default_rng(4)
+    link = jj.Link(80)
+    bounds = link.classes(5000)
+    line = rng.integers(0, 2**63, 10, dtype=np.uint64) * np.uint64(2)
+    meet = []
+    for n in (40, 90, 300, 1000, 2500):
+        sets = [np.unique(np.concatenate((line, rng.integers(0, 2**64, n, dtype=np.uint64)))) for _ in range(60)]
+        keys = [np.unique(np.concatenate(jj.index_keys(s, link, bounds))) for s in sets]
+        shared = np.unique(np.concatenate(keys), return_counts=True)[1]
+        meet.append(int((shared * (shared - 1) // 2).sum()) / (60 * 59 / 2))
+        for k in range(40):
+            larger = np.unique(np.concatenate((sets[k], rng.integers(0, 2**64, n * (k % 26) // 100, dtype=np.uint64))))
+            common, total = len(sets[k]), len(sets[k]) + len(larger)
+            if 100 * common >= 80 * (total - common) and len(larger) > common:
+                assert len(np.intersect1d(keys[k], np.concatenate(jj.index_keys(larger, link, bounds)))), (n, k)
+    assert max(meet) < 0.5, meet  # lists that an unlike pair meets in
+
+
+def test_the_pipelines_near_copies_are_five_words_and_80():
+    import corpus_pipeline
+
+    assert (corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT) == (5, 80)
