@@ -261,8 +261,7 @@ def q_louvain(spark, sf):
 
 @query("betweenness")
 def q_betweenness(spark, sf):
-    """16 drawn sources keep the path tables small; the operator takes up to 500."""
-    return paths.betweenness(link_graph(spark, sf), k=16)
+    return paths.betweenness(cut(link_graph(spark, sf), "graph"))
 
 
 @query("sampled_subgraph", f"""{views('links')}, v as (select src as id from links union select dst from links),

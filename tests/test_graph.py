@@ -212,6 +212,24 @@ def test_betweenness_from_chosen_sources(spark):
     assert all(abs(got[v] - want[v]) < 1e-9 for v in want)
 
 
+def test_the_betweenness_query_takes_500_sources(spark, monkeypatch):
+    from ledgerloom.catalog import graphs
+
+    edges = GRAPHS["random"]
+    monkeypatch.setattr(graphs, "link_graph", lambda s, sf: frame(s, edges))
+    got = as_dict(graphs.q_betweenness(spark, None))
+    want = ref.betweenness(edges, sorted(ref.neighbours(edges)))
+    assert len(want) > 16 and got.keys() == want.keys()
+    assert all(abs(got[v] - want[v]) < 1e-9 for v in want)
+
+
+def test_betweenness_in_batches(spark):
+    edges = GRAPHS["random"]
+    got = as_dict(paths.betweenness(frame(spark, edges), batch=10))
+    want = ref.betweenness(edges, sorted(ref.neighbours(edges)))
+    assert all(abs(got[v] - want[v]) < 1e-9 for v in want)
+
+
 def test_degrees_and_density(spark):
     edges = TRIANGLES + [("a", "a", 1.0), ("b", "a", 1.0)]
     got = as_dict(degrees.degrees(frame(spark, edges)))
