@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Rows are texts of any length: batches for Python and row groups are bounded by bytes.
+TEXT_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "parquet.block.size": str(16 << 20)}
 WHITE = r"[\x20\x09-\x0D]+"  # separators of the white-space words
 
 
@@ -31,6 +33,8 @@ def ready(spark: SparkSession) -> SparkSession:
                 z.write(f, f.relative_to(package.parent))
         sc.addPyFile(str(archive))
         sc._ledgerloom_shipped = True
+    for key, value in TEXT_SETTINGS.items():
+        spark.conf.set(key, value)
     return prepare(spark)
 
 
@@ -104,6 +108,22 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+HOT_SHARE = 10_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], n: str) -> DataFrame:
+    """``rows`` joined with their group, when a few groups may hold most of the rows.
+
+    ``groups`` (written, one row per group) counts its rows in ``n``. At most ``HOT_SHARE`` groups
+    have more than that part of all rows of groups; they are broadcast, the others shuffled.
+    """
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    hot = groups.filter(F.col(n) > total // HOT_SHARE)
+    rest = groups.filter(F.col(n) <= total // HOT_SHARE)
+    by_hot = rows.join(F.broadcast(hot), on)
+    return by_hot.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on))
+
+
 ROWS_PER_CHUNK = 200_000
 
 

@@ -6,14 +6,19 @@ of a corpus at once would move many times its size, so suffixes are brought toge
 1. The smallest of the gram codes inside a string is its anchor (leftmost if several). Equal
    strings have equal anchors at the same place, and neighbouring strings mostly share one. Each
    anchor is one row: its gram, the strings it stands for, and a code of all their bytes (context).
-2. Grams that occur once are dropped: their strings occur once. Equal contexts are counted before
-   anything else moves, so a passage in a third of all texts is a count and a first place.
-3. Bytes of the different contexts left go to buckets by gram. There the strings are put into
-   suffix order; previous and next smaller positions in that order give the longest previous
+2. Anchors are shuffled once, by gram, and read as a stream. A gram with one anchor has no match.
+   All members of a context that occurs again lose their strings (but the first, for
+   ``keep="first"``) without another look at them. Only grams with different contexts go on.
+3. Bytes of these contexts, one member each, go to buckets by gram. There the strings are put
+   into suffix order; previous and next smaller positions in that order give the longest previous
    factor of each (and the longest later one, with positions reversed). Lengths are exact up to
    ``match``, which is all that is asked.
-   Grams with more contexts than a task should hold are divided into single strings first.
-4. Verdicts return to all members of a context, and each text takes the union of its strings.
+4. Each text takes the union of its removed strings.
+
+Grams that are frequent in a sample of texts are dealt over many tasks in step 2, and their
+contexts counted by partial sums; the sample decides on the way only, never on results. A gram
+with more than ``CROWDED`` different contexts (a passage in very many texts, with other text
+around it in each) isn't put into suffix order: its strings are counted by two 64-bit codes.
 
 ``keep="first"`` removes later copies and keeps the first (by id, then position);
 ``keep="none"`` removes every copy.
@@ -31,16 +36,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import Rounds, cut
-from .common import query, release, row_code, table, texts
+from ..session import cut
+from .common import join_groups, query, release, row_code, table, texts
 from .shingles import _BYTE, _power, mix, slices
 
 MATCH = 200
 GRAM = 40
 CONTEXTS_PER_BUCKET = 2_000
 STRINGS_AT_ONCE = 100_000
-CROWDED = 20_000  # different contexts of a gram (300 bytes each) beyond which they are divided
+CROWDED = 5_000  # different contexts of a gram (300 bytes each) beyond which they are divided
 BROADCAST_ROWS = 1_000_000  # row codes (8 bytes) that may be broadcast
+SAMPLE_ROWS = 10_000  # texts in which frequent grams are looked for
+HOT_IN_SAMPLE = 10  # anchors there that make a gram frequent, or a thousandth of the sampled texts
+HOT_GRAMS = 50_000  # frequent grams at most, the most frequent first
+SPREAD = 64  # parts of a frequent gram
 
 # --- arrays ----------------------------------------------------------------------------------
 
@@ -112,10 +121,10 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, edges: np.ndarray, match: int) -> dict[str, np.ndarray]:
     """Anchor rows of concatenated texts; ``edges`` are the bytes where texts begin, and the end.
 
-    gram, context, text (index), pos (of the anchor in its text), before (strings that begin
-    before the anchor), strings (number), again (the same context came earlier in the text).
+    gram, context, text (index), pos (of the anchor in its text), before (bytes from the first
+    string's begin to the anchor), strings (number).
     """
-    none = {k: np.empty(0, np.int64) for k in ("gram", "context", "text", "pos", "before", "strings", "again")}
+    none = {k: np.empty(0, np.int64) for k in ("gram", "context", "text", "pos", "before", "strings")}
     window = match - GRAM + 1
     if len(data) < match:
         return none
@@ -140,10 +149,8 @@ def anchors(data: np.ndarray, edges: np.ndarray, match: int) -> dict[str, np.nda
     context = mix((total[past] - total[first]) * down[first] + (past - first).astype(np.uint64) * np.uint64(1009) + before.astype(np.uint64))
     gram = codes[anchor]
     owner = text[first]
-    once = np.zeros(len(first), bool)
-    once[np.unique(mix(gram + mix(context + mix(owner.astype(np.uint64)))), return_index=True)[1]] = True
     return {"gram": gram.view(np.int64), "context": context.view(np.int64), "text": owner, "pos": anchor - edges[owner],
-            "before": before, "strings": ends - first + 1, "again": ~once}
+            "before": before, "strings": ends - first + 1}
 
 
 def string_codes(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
@@ -152,9 +159,9 @@ def string_codes(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray
     return mix((total[starts + width] - total[starts]) * down[starts])
 
 
-def bucket_verdicts(contexts: list[tuple[int, int, int, bytes]], match: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per context (order, begin, copies, bytes): whether each of its strings has an equal one at an
-    earlier place, and whether it has one at a later place, both for the first copy of the context.
+def bucket_verdicts(contexts: list[tuple[int, int, bytes]], match: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per context (order, begin, bytes): whether each of its strings has an equal one at an earlier
+    place, and whether it has one at a later place, both for the first copy of the context.
 
     ``order`` and ``begin`` give the place of the first copy. Strings whose code is single in the
     bucket have no match in it; the others are compared in suffix order.
@@ -175,7 +182,7 @@ def bucket_verdicts(contexts: list[tuple[int, int, int, bytes]], match: int) ->
     # Place of each string: by order of the text, then its byte. Numbered densely for comparison.
     which = order[shared[order]]  # by code, so equal strings stay in one part
     doc = np.array([o for o, *_ in contexts], np.int64)
-    begin = np.array([b for _, b, *_ in contexts], np.int64)
+    begin = np.array([b for _, b, _ in contexts], np.int64)
     earlier, later = np.zeros(len(code), bool), np.zeros(len(code), bool)
     span = np.lib.stride_tricks.sliding_window_view(data, match) if len(data) >= match else None
     a = 0
@@ -196,10 +203,31 @@ def bucket_verdicts(contexts: list[tuple[int, int, int, bytes]], match: int) ->
 
 # --- tasks -----------------------------------------------------------------------------------
 
-_ANCHOR = "gram long, context long, row long, place long, pos int, before short, strings short, again boolean"
 
+def _packed(pos: np.ndarray, before: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """An anchor's place, the bytes before it and its strings as one number in order of the place."""
+    return (pos.astype(np.int64) << 32) | (before.astype(np.int64) << 16) | strings.astype(np.int64)
+
+
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin of the first string, strings)."""
+    return (at >> 32) - ((at >> 16) & 0xFFFF), at & 0xFFFF
+
+
+def _begin_of(at: str):
+    return (F.shiftright(at, 32) - F.shiftright(at, 16).bitwiseAND(F.lit(0xFFFF))).alias("begin")
+
+
+def _strings_of(at: str):
+    return F.col(at).bitwiseAND(F.lit(0xFFFF)).alias("strings")
+
+
+_ANCHOR = "gram long, part int, context long, row long, place {place}, at long"
+
+
+def _anchor_rows(match: int, hot: np.ndarray):
+    """Anchor rows; ``part`` is -1, or one of ``SPREAD`` parts for the grams in ``hot`` (sorted)."""
 
-def _anchor_rows(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
@@ -207,29 +235,94 @@ def _anchor_rows(match: int):
                 edges = np.cumsum([0] + [len(d) for d in data])
                 out = anchors(np.frombuffer(b"".join(data), np.uint8), edges, match)
                 text = pa.array(out["text"])
+                row = batch.column("row").take(text)
+                part = np.full(len(text), -1, np.int32)
+                if len(hot) and len(text):
+                    near = np.minimum(np.searchsorted(hot, out["gram"]), len(hot) - 1)
+                    is_hot = hot[near] == out["gram"]
+                    part[is_hot] = (mix(row.to_numpy().view(np.uint64)[is_hot]) % np.uint64(SPREAD)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
-                    "gram": pa.array(out["gram"], pa.int64()), "context": pa.array(out["context"], pa.int64()),
-                    "row": batch.column("row").take(text), "place": batch.column("place").take(text),
-                    "pos": pa.array(out["pos"].astype(np.int32)), "before": pa.array(out["before"].astype(np.int16)),
-                    "strings": pa.array(out["strings"].astype(np.int16)), "again": pa.array(out["again"].astype(bool)),
+                    "gram": pa.array(out["gram"], pa.int64()), "part": pa.array(part), "context": pa.array(out["context"], pa.int64()),
+                    "row": row, "place": batch.column("place").take(text),
+                    "at": pa.array(_packed(out["pos"], out["before"], out["strings"])),
                 })
 
     return run
 
 
-def _context_bytes(match: int):
+HIT, CONTEXT, MEMBER = 0, 1, 2
+_GROUPED = "kind byte, gram long, context long, row long, place {place}, at long, copies long"
+
+
+def _grouped(keep: str):
+    """From anchors in order of (gram, part, context, place, at): ``HIT`` rows, all of whose strings go,
+    first members of the contexts of grams with several (``CONTEXT``), and frequent grams' rows as they are (``MEMBER``)."""
+
+    def rows(t: pa.Table, index: np.ndarray, kind: np.ndarray, copies: np.ndarray) -> pa.RecordBatch:
+        t = t.take(pa.array(index))
+        return pa.RecordBatch.from_pydict(
+            {"kind": pa.array(kind.astype(np.int8))}
+            | {c: t.column(c).combine_chunks() for c in ("gram", "context", "row", "place", "at")}
+            | {"copies": pa.array(copies.astype(np.int64))}
+        )
+
+    def judged(t: pa.Table) -> pa.RecordBatch:
+        gram, context = t.column("gram").to_numpy(), t.column("context").to_numpy()
+        new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
+        first = np.flatnonzero(new_gram | np.concatenate(([True], context[1:] != context[:-1])))
+        copies = np.diff(np.append(first, len(gram)))
+        of_gram = (np.cumsum(new_gram) - 1)[first]
+        several = np.bincount(of_gram)[of_gram] > 1
+        hit = np.repeat(copies > 1, copies)
+        if keep == "first":  # rows with equal id and text share the first place
+            row, at, lead = t.column("row").to_numpy(), t.column("at").to_numpy(), np.repeat(first, copies)
+            hit &= (row != row[lead]) | (at != at[lead])
+        hits = np.flatnonzero(hit)
+        return rows(t, np.concatenate((hits, first[several])),
+                    np.concatenate((np.full(len(hits), HIT), np.full(several.sum(), CONTEXT))),
+                    np.concatenate((np.zeros(len(hits)), copies[several])))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the gram that may go on
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("gram", "context", "place", "begin", "copies", "bytes")}
-            for text, asked in zip(batch.column("text"), batch.column("asked").to_pylist()):
-                data = text.as_py().encode()
-                for x in asked:
-                    begin = x["pos"] - x["before"]
-                    row = (x["gram"], x["context"], x["place"], begin, x["copies"], data[begin:begin + x["strings"] + match - 1])
-                    for values, value in zip(out.values(), row):
-                        values.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+            spread = batch.column("part").to_numpy() >= 0
+            if spread.any():
+                of = np.flatnonzero(spread)
+                yield rows(pa.Table.from_batches([batch]), of, np.full(len(of), MEMBER), np.ones(len(of)))
+                batch = batch.take(pa.array(np.flatnonzero(~spread)))
+            if not batch.num_rows:
+                continue
+            gram = batch.column("gram").to_numpy()
+            last = len(gram) - int(np.argmax(gram[::-1] != gram[-1])) if (gram != gram[-1]).any() else 0
+            if last or (held and held[-1].column("gram")[0].as_py() != gram[0]):
+                whole = pa.Table.from_batches([*held, batch.slice(0, last)])
+                if whole.num_rows:
+                    yield judged(whole)
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield judged(pa.Table.from_batches(held))
+
+    return run
+
+
+_BYTES = "gram long, context long, row long, place {place}, begin long, copies long, bytes binary"
+
+
+def _context_bytes(match: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", 1_000_000):
+                asked = batch.column("asked")
+                flat = asked.flatten()
+                begin, strings = _unpacked(flat.field("at").to_numpy())
+                counts = pa.compute.list_value_length(asked).to_numpy()
+                data, of = [t.encode() for t in batch.column("text").to_pylist()], np.repeat(np.arange(len(counts)), counts)
+                pieces = [data[o][b:b + n + match - 1] for o, b, n in zip(of.tolist(), begin.tolist(), strings.tolist())]
+                yield pa.RecordBatch.from_pydict({
+                    "gram": flat.field("gram"), "context": flat.field("context"), "row": batch.column("row").take(pa.array(of)),
+                    "place": flat.field("place"), "begin": pa.array(begin), "copies": flat.field("copies"), "bytes": pa.array(pieces, pa.binary()),
+                })
 
     return run
 
@@ -239,73 +332,85 @@ def _single_strings(match: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, asked in zip(batch.column("text"), batch.column("asked").to_pylist()):
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
-                begin = np.array([x["pos"] - x["before"] for x in asked], np.int64)
-                n = np.array([x["strings"] for x in asked], np.int64)
-                of = np.repeat(np.arange(len(asked)), n)
+            for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("asked")):
+                data, asked = np.frombuffer(text.encode(), np.uint8), asked.values
+                begin, n = _unpacked(asked.field("at").to_numpy())
+                of = np.repeat(np.arange(len(n)), n)
                 start = np.repeat(begin, n) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
                 one, two = string_codes(data, start, match), string_codes(data[::-1], len(data) - match - start, match)
-                columns = {k: pa.array(np.array([x[k] for x in asked], np.int64)[of]) for k in ("row", "place", "copies")}
-                yield pa.RecordBatch.from_pydict(columns | {
-                    "begin": pa.array(start, pa.int64()), "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
+                yield pa.RecordBatch.from_pydict({
+                    "row": pa.array(np.full(len(of), row), pa.int64()), "place": asked.field("place").take(pa.array(of)),
+                    "copies": asked.field("copies").take(pa.array(of)), "begin": pa.array(start, pa.int64()),
+                    "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
                 })
 
     return run
 
 
+def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of each run of true values."""
+    edge = np.diff(np.concatenate(([0], flags.view(np.int8), [0])))
+    begin = np.flatnonzero(edge == 1)
+    return begin, np.flatnonzero(edge == -1) - begin
+
+
+_HIT = "row long, begin long, strings long"
+
+
 def _judge_bucket(match: int, keep: str):
+    """Runs of removed strings of the contexts of a bucket. With ``keep="none"``, members of a context that occurs again are hits already."""
+
     def run(t: pa.Table) -> pa.Table:
-        rows, seen = [], set()
-        for gram, context, place, begin, copies, data in zip(*[t.column(c).to_pylist() for c in ("gram", "context", "place", "begin", "copies", "bytes")]):
-            if (gram, context) not in seen:  # twice only if rows with equal id and text exist
-                seen.add((gram, context))
-                rows.append((gram, context, place, begin, copies, data))
-        verdicts = bucket_verdicts([r[2:] for r in rows], match)
-        first, rest = [], []
-        for (*_, copies, data), (earlier, later) in zip(rows, verdicts):
-            every = np.ones(len(earlier), bool)
-            if keep == "none":
-                removed = every if copies > 1 else earlier | later
-                first.append(np.packbits(removed).tobytes())
-                rest.append(first[-1])
-            else:
-                first.append(np.packbits(earlier).tobytes())
-                rest.append(np.packbits(every).tobytes())
-        return pa.table({
-            "gram": pa.array([r[0] for r in rows], pa.int64()), "context": pa.array([r[1] for r in rows], pa.int64()),
-            "first": pa.array(first, pa.binary()), "rest": pa.array(rest, pa.binary()),
-        })
+        columns = {c: t.column(c).to_pylist() for c in t.column_names}
+        # Twice only if rows with equal id and text exist.
+        once = list({key: i for i, key in enumerate(zip(columns["gram"], columns["context"]))}.values())
+        place = columns["place"]
+        known = sorted({place[i] for i in once if place[i] is not None})
+        order = {p: k for k, p in enumerate(known)} | {None: len(known)}
+        once.sort(key=lambda i: columns["gram"][i])
+        out: list[tuple[int, int, int]] = []
+        at = 0
+        while at < len(once):  # strings of different grams never match
+            past, strings = at, 0
+            while past < len(once) and (strings < STRINGS_AT_ONCE or columns["gram"][once[past]] == columns["gram"][once[past - 1]]):
+                strings += len(columns["bytes"][once[past]]) - match + 1
+                past += 1
+            part = once[at:past]
+            verdicts = bucket_verdicts([(order[place[i]], columns["begin"][i], columns["bytes"][i]) for i in part], match)
+            for i, (earlier, later) in zip(part, verdicts):
+                if keep == "first" or columns["copies"][i] == 1:
+                    begin, n = runs(earlier if keep == "first" else earlier | later)
+                    out += zip([columns["row"][i]] * len(n), (begin + columns["begin"][i]).tolist(), n.tolist())
+            at = past
+        row, begin, n = zip(*out) if out else ((), (), ())
+        return pa.table({"row": pa.array(row, pa.int64()), "begin": pa.array(begin, pa.int64()), "strings": pa.array(n, pa.int64())})
 
     return run
 
 
-def removed_bytes(edges: np.ndarray, owner: np.ndarray, begin: np.ndarray, bits: list[bytes], match: int) -> np.ndarray:
+def removed_bytes(edges: np.ndarray, owner: np.ndarray, begin: np.ndarray, strings: np.ndarray, match: int) -> np.ndarray:
     """Which bytes of concatenated texts are covered by removed strings.
 
-    Hit k is in the text ``owner[k]``; its bits tell which of the strings from ``begin[k]`` on go.
+    Of the text ``owner[k]`` go ``strings[k]`` strings, which begin at its byte ``begin[k]`` and after.
     """
-    delta = np.zeros(edges[-1] + 1, np.int64)
-    if len(bits):
-        width = max(map(len, bits))
-        flags = np.frombuffer(b"".join([x.ljust(width, b"\0") for x in bits]), np.uint8).reshape(len(bits), width)
-        hit, place = np.nonzero(np.unpackbits(flags, axis=1))
-        at = edges[owner[hit]] + begin[hit] + place
-        delta += np.bincount(at, minlength=len(delta)) - np.bincount(at + match, minlength=len(delta))
-    return np.cumsum(delta[:-1]) > 0
+    delta = np.zeros(edges[-1] + 1, np.int32)
+    start = edges[owner] + begin
+    np.add.at(delta, start, 1)
+    np.add.at(delta, start + strings + match - 1, -1)
+    return np.cumsum(delta[:-1], dtype=np.int32) > 0
 
 
 def _cut_rows(match: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", 1_000_000):
                 texts_, hits = batch.column("_text").to_pylist(), batch.column("_hits")
                 each = [(t or "").encode() for t in texts_]
                 edges = np.cumsum([0] + [len(d) for d in each])
                 flat = hits.flatten()
                 counts = pa.compute.fill_null(pa.compute.list_value_length(hits), 0).to_numpy(zero_copy_only=False)
                 owner = np.repeat(np.arange(len(each)), counts)
-                gone = removed_bytes(edges, owner, flat.field("begin").to_numpy(zero_copy_only=False), flat.field("bits").to_pylist(), match)
+                gone = removed_bytes(edges, owner, flat.field("begin").to_numpy(zero_copy_only=False), flat.field("strings").to_numpy(zero_copy_only=False), match)
                 for i in np.flatnonzero(batch.column("_copy").to_numpy() > 1):  # an equal row came before
                     if len(each[i]) >= match:
                         gone[edges[i]:edges[i + 1]] = True
@@ -337,89 +442,87 @@ def _cut_rows(match: int, with_text: bool):
 # --- operator --------------------------------------------------------------------------------
 
 
+def _frequent_grams(rows: DataFrame, match: int, schema: str) -> np.ndarray:
+    """Grams of many anchors in about ``SAMPLE_ROWS`` texts, at most ``HOT_GRAMS`` (8 bytes each), sorted."""
+    share = min(1.0, SAMPLE_ROWS / max(1, rows.count()))
+    drawn = rows.filter(F.pmod(F.xxhash64("row", F.lit(5)), F.lit(1_000_003)) < int(1_000_003 * share) + 1)
+    counts = drawn.mapInArrow(_anchor_rows(match, np.empty(0, np.int64)), schema).groupBy("gram").agg(F.count("*").alias("n"))
+    least = max(HOT_IN_SAMPLE, SAMPLE_ROWS // 1000)
+    found = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).select("gram").collect()
+    return np.sort(np.array([r.gram for r in found], np.int64))
+
+
+def _hits_of_frequent(members: DataFrame, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hits of the frequent grams' rows in contexts that occur again; the contexts of grams with several: few, and too many."""
+    order = F.struct(F.col("place").isNull(), "place", "at")
+    contexts = cut(
+        members.groupBy("gram", "context").agg(F.count("*").alias("copies"), F.min_by(F.struct("row", "place", "at"), order).alias("head")),
+        "contexts",
+    )
+    again = contexts.filter("copies > 1").select("gram", "context", "copies", "head")
+    rows = join_groups(members.drop("copies"), again, ["gram", "context"], "copies")
+    if keep == "first":
+        rows = rows.filter((F.col("row") != F.col("head.row")) | (F.col("at") != F.col("head.at")))
+    sizes = F.broadcast(contexts.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))  # HOT_GRAMS rows at most
+    several = contexts.join(sizes, "gram").select("gram", "context", "head.row", "head.place", "head.at", "copies", "n")
+    return rows.select("row", "at"), several.filter(F.col("n") <= CROWDED).drop("n"), several.filter(F.col("n") > CROWDED).drop("n")
+
+
 def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, hits): per row code the strings to remove, as begins and bits of the strings from there."""
-    if match <= GRAM or keep not in ("none", "first"):
-        raise ValueError(f"match must be above {GRAM} and keep one of 'none' and 'first'")
+    """(row, hits): per row code the strings to remove, as runs (begin, strings)."""
+    if not GRAM < match < 2**15 or keep not in ("none", "first"):
+        raise ValueError(f"match must be above {GRAM} and below 32768, and keep one of 'none' and 'first'")
+    spark = docs.sparkSession
     rows = texts(docs, id_col, text_col).withColumn("row", row_code())
-    whole = rows.dtypes[0][1] in ("bigint", "int", "smallint", "tinyint")
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)) if whole else F.col("row")
+    place = F.col("doc_id") if keep == "first" else F.lit(None).cast("int")
     rows = rows.select("text", "row", place.alias("place"))
-    spark = docs.sparkSession
-    steps = Rounds(spark, "anchors", keep=1)  # all anchors go once the shared ones are written
-    found = steps.cut(rows.mapInArrow(_anchor_rows(match), _ANCHOR))
-    # Written, so that both sides of the join are plain shuffles and Spark can split a hot gram's partition.
-    several = cut(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
-    found = steps.cut(found.join(several, "gram"))
+    kind = rows.schema["place"].dataType.simpleString()
+    named = lambda schema: schema.format(place=kind)
+    hot = _frequent_grams(rows, match, named(_ANCHOR))
+    dealt = rows.mapInArrow(_anchor_rows(match, hot), named(_ANCHOR)).repartition("gram", "part")
+    dealt = dealt.sortWithinPartitions("gram", "part", "context", F.asc_nulls_last("place"), "at")
+    grouped = cut(dealt.mapInArrow(_grouped(keep), named(_GROUPED)), "grouped")
     release(spark)
-    first_place = F.when(~F.col("again"), F.col("place"))
-    least = lambda c: F.min_by(c, first_place).alias(c)
-    contexts = cut(
-        found.groupBy("gram", "context")
-        .agg(F.count("*").alias("copies"), F.min("place").alias("place"), least("row"), least("pos"), least("before"), least("strings")),
-        "contexts",
-    )
-    crowded = cut(contexts.groupBy("gram").count().filter(F.col("count") > CROWDED).select("gram"), "crowded")
-    extra = None
-    if not crowded.isEmpty():
-        extra = _crowded_hits(rows, found, contexts.join(crowded, "gram", "left_semi"), match, keep)
-        contexts = cut(contexts.join(crowded, "gram", "left_anti"), "contexts")
-    n = contexts.count()
-    asked = contexts.groupBy("row").agg(
-        F.collect_list(F.struct("gram", "context", "place", "pos", "before", "strings", "copies")).alias("asked")
-    )
-    wanted = contexts.select("row").distinct()
-    if n <= BROADCAST_ROWS or wanted.count() <= BROADCAST_ROWS:
-        rows = rows.join(F.broadcast(wanted), "row", "left_semi")
-    parts = rows.select("row", "text").join(asked, "row").select("text", "asked").mapInArrow(
-        _context_bytes(match), "gram long, context long, place long, begin long, copies long, bytes binary"
-    )
-    buckets = max(1, -(-n // CONTEXTS_PER_BUCKET))
-    verdicts = (
-        parts.withColumn("bucket", F.pmod("gram", F.lit(buckets))).groupBy("bucket")
-        .applyInArrow(_judge_bucket(match, keep), "gram long, context long, first binary, rest binary")
-    )
-    verdicts = verdicts.join(
-        contexts.select("gram", "context", F.col("row").alias("first_row"), F.col("pos").alias("first_pos")), ["gram", "context"]
-    )
-    is_first = (F.col("row") == F.col("first_row")) & (F.col("pos") == F.col("first_pos"))
-    hits = found.join(verdicts, ["gram", "context"]).select(
-        "row", (F.col("pos") - F.col("before")).cast("long").alias("begin"), F.when(is_first, F.col("first")).otherwise(F.col("rest")).alias("bits")
-    ).filter(F.hex("bits").rlike("[^0]"))
-    if extra is not None:
-        hits = hits.unionByName(extra)
-    hits = cut(hits.groupBy("row").agg(F.collect_list(F.struct("begin", "bits")).alias("hits")), "hits")
+    hits = grouped.filter(F.col("kind") == HIT).select("row", "at")
+    contexts = grouped.filter(F.col("kind") == CONTEXT).drop("kind")
+    crowded = None
+    if len(hot):
+        members = grouped.filter(F.col("kind") == MEMBER).drop("kind")
+        more, few, crowded = _hits_of_frequent(members, keep)
+        hits, contexts = hits.unionByName(more), contexts.unionByName(few)
+    hits = hits.select("row", _begin_of("at"), _strings_of("at"))
+    asked = contexts.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "place", "at", "copies")).alias("asked"))
+    parts = rows.select("row", "text").join(asked, "row").select("row", "text", "asked").mapInArrow(_context_bytes(match), named(_BYTES))
+    buckets = max(1, -(-contexts.count() // CONTEXTS_PER_BUCKET))
+    judged = parts.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(_judge_bucket(match, keep), _HIT)
+    hits = hits.unionByName(judged)
+    if crowded is not None and not crowded.isEmpty():
+        hits = hits.unionByName(_crowded_hits(rows, crowded, match, keep, named("row long, place {place}, copies long, begin long, one long, two long")))
+    hits = cut(hits.groupBy("row").agg(F.collect_list(F.struct("begin", "strings")).alias("hits")), "hits")
     release(spark)
     return hits
 
 
-def _crowded_hits(rows: DataFrame, found: DataFrame, contexts: DataFrame, match: int, keep: str) -> DataFrame:
-    """(row, begin, bits) for grams with more different contexts than one task should hold.
+def _crowded_hits(rows: DataFrame, contexts: DataFrame, match: int, keep: str, schema: str) -> DataFrame:
+    """(row, begin, strings) for first members of contexts of grams with more of them than one task should hold.
 
     A passage that many texts share, each with other text around it, makes one context per text.
     These are divided into their single strings, which are counted by code where they are first;
     most are alone or all alike, so no task gathers them.
     """
-    asked = contexts.groupBy("row").agg(
-        F.collect_list(F.struct("row", "place", "pos", "before", "strings", "copies")).alias("asked")
-    )
+    asked = contexts.groupBy("row").agg(F.collect_list(F.struct("place", "at", "copies")).alias("asked"))
     singles = cut(
-        rows.select("row", "text").join(asked, "row").select("text", "asked")
-        .mapInArrow(_single_strings(match), "row long, place long, copies long, begin long, one long, two long")
-        .dropDuplicates(["row", "begin"]),
+        rows.select("row", "text").join(asked, "row").select("row", "text", "asked")
+        .mapInArrow(_single_strings(match), schema).dropDuplicates(["row", "begin"]),
         "singles",
     )
-    heads = singles.groupBy("one", "two").agg(F.sum("copies").alias("total"), F.min(F.struct("place", "begin")).alias("head"))
-    judged = singles.join(cut(heads.filter("total > 1"), "heads"), ["one", "two"])
+    heads = singles.groupBy("one", "two").agg(
+        F.count("*").alias("n"), F.sum("copies").alias("total"), F.min(F.struct(F.col("place").isNull().alias("none"), "place", "begin", "row")).alias("head")
+    )
+    judged = join_groups(singles, cut(heads.filter("total > 1"), "heads"), ["one", "two"], "n")
     if keep == "first":
-        judged = judged.filter(F.struct("place", "begin") != F.col("head"))
-    first = judged.select("row", "begin", F.unhex(F.lit("80")).alias("bits"))
-    # Other members of a context that occurs again lose all its strings.
-    ends = F.array(*[F.lit(x) for x in ("", "80", "C0", "E0", "F0", "F8", "FC", "FE")])
-    ones = F.unhex(F.concat(F.expr("repeat('FF', cast(strings as int) div 8)"), F.get(ends, F.col("strings") % 8)))
-    several = contexts.filter("copies > 1").select("gram", "context", F.col("row").alias("first_row"), F.col("pos").alias("first_pos"))
-    rest = found.join(several, ["gram", "context"]).filter((F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos")))
-    return first.unionByName(rest.select("row", (F.col("pos") - F.col("before")).cast("long").alias("begin"), ones.alias("bits")))
+        judged = judged.filter((F.col("row") != F.col("head.row")) | (F.col("begin") != F.col("head.begin")))
+    return judged.select("row", "begin", F.lit(1).cast("long").alias("strings"))
 
 
 def _cut_out(docs: DataFrame, match: int, keep: str, id_col: str, text_col: str, columns: list[str], with_text: bool) -> DataFrame:
@@ -465,8 +568,9 @@ def digest(docs: DataFrame, match: int = MATCH, keep: str = "none", id_col: str
 def dedup(docs: DataFrame, match: int = MATCH, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated strings cut out of the text; columns and rows stay.
 
-    Null texts stay null. Bytes of a character that a cut splits are dropped. Rows that share an
-    id but not the text keep one copy of what they share; which of them keeps it is not defined.
+    The first copy is that of the smallest id, whatever its type; a null id comes last. Null texts
+    stay null. Bytes of a character that a cut splits are dropped. Rows that share an id but not
+    the text keep one copy of what they share; which of them keeps it is not defined.
     """
     columns = docs.columns
     out = _cut_out(docs, match, keep, id_col, text_col, [c for c in columns if c != text_col], True)

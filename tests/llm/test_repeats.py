@@ -44,9 +44,13 @@ def test_psv_and_lpf_against_plain_versions():
     assert got.tolist() == want
 
 
-@pytest.mark.parametrize("keep,crowded", [("none", 20_000), ("first", 20_000), ("none", 2), ("first", 2)])
-def test_digest_against_all_strings(spark, monkeypatch, keep, crowded):
+@pytest.mark.parametrize("keep,crowded,frequent", [
+    ("none", 20_000, 10), ("first", 20_000, 10), ("none", 20_000, 3), ("first", 20_000, 3), ("none", 2, 3), ("first", 2, 3),
+])
+def test_digest_against_all_strings(spark, monkeypatch, keep, crowded, frequent):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
+    monkeypatch.setattr(repeats, "HOT_IN_SAMPLE", frequent)
+    monkeypatch.setattr(repeats, "SAMPLE_ROWS", 50)
     rows = [(i, t, 1, "x") for i, t in enumerate(_texts())]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.digest(spark.createDataFrame(rows, DOCS), keep=keep).collect()}
     for d, n, kept, spans in repeated_bytes([r[:2] for r in rows], keep=keep):
@@ -63,3 +67,10 @@ def test_repeated_rows_nulls_and_other_columns(spark):
     assert sorted(len(r.text) for r in left.collect() if r.doc_id == 1) == [0, len(text)]
     assert sorted((r.text or "-") for r in left.collect() if r.doc_id != 1) == ["-", "a"]
     assert repeats.digest(df.limit(0)).count() == 0
+
+
+def test_text_ids_keep_the_first(spark):
+    passage = " ".join(f"w{i}" for i in range(100))
+    rows = [("c", "x " + passage, 0, "y"), ("a", passage, 0, "y"), ("b", passage + " z", 0, "y"), (None, passage, 0, "y")]
+    left = {r.doc_id: r.text for r in repeats.dedup(spark.createDataFrame(rows, DOCS.replace("doc_id long", "doc_id string"))).collect()}
+    assert left == {"a": passage, "b": " z", "c": "x ", None: ""}
