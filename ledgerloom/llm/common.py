@@ -111,8 +111,8 @@ def release(spark: SparkSession) -> None:
 HOT_SHARE = 10_000
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], n: str) -> DataFrame:
-    """``rows`` joined with their group, when a few groups may hold most of the rows.
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], n: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined (inner or left) with their group, when a few groups may hold most of the rows.
 
     ``groups`` (written, one row per group) counts its rows in ``n``. At most ``HOT_SHARE`` groups
     have more than that part of all rows of groups; they are broadcast, the others shuffled.
@@ -121,7 +121,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], n: str) -> Da
     hot = groups.filter(F.col(n) > total // HOT_SHARE)
     rest = groups.filter(F.col(n) <= total // HOT_SHARE)
     by_hot = rows.join(F.broadcast(hot), on)
-    return by_hot.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on))
+    return by_hot.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on, how))
 
 
 ROWS_PER_CHUNK = 200_000

@@ -18,7 +18,9 @@ of a corpus at once would move many times its size, so suffixes are brought toge
 Grams that are frequent in a sample of texts are dealt over many tasks in step 2, and their
 contexts counted by partial sums; the sample decides on the way only, never on results. A gram
 with more than ``CROWDED`` different contexts (a passage in very many texts, with other text
-around it in each) isn't put into suffix order: its strings are counted by two 64-bit codes.
+around it in each) isn't put into suffix order: its strings are counted by 64-bit codes, in blocks
+first. A block whose bytes agree with another's is decided as a whole, and so is one whose common
+bytes occur once; the rest is divided into single strings.
 
 ``keep="first"`` removes later copies and keeps the first (by id, then position);
 ``keep="none"`` removes every copy.
@@ -50,6 +52,7 @@ SAMPLE_ROWS = 10_000  # texts in which frequent grams are looked for
 HOT_IN_SAMPLE = 10  # anchors there that make a gram frequent, or a thousandth of the sampled texts
 HOT_GRAMS = 50_000  # frequent grams at most, the most frequent first
 SPREAD = 64  # parts of a frequent gram
+BLOCK = 13  # strings that are looked at together in the contexts of a crowded gram
 
 # --- arrays ----------------------------------------------------------------------------------
 
@@ -306,7 +309,7 @@ def _grouped(keep: str):
     return run
 
 
-_BYTES = "gram long, context long, row long, place {place}, begin long, copies long, bytes binary"
+_BYTES = "gram long, context long, row long, place {place}, begin long, before long, copies long, many boolean, bytes binary"
 
 
 def _context_bytes(match: int):
@@ -315,34 +318,83 @@ def _context_bytes(match: int):
             for batch in slices(whole, "text", 1_000_000):
                 asked = batch.column("asked")
                 flat = asked.flatten()
-                begin, strings = _unpacked(flat.field("at").to_numpy())
+                at = flat.field("at").to_numpy()
+                begin, strings = _unpacked(at)
                 counts = pa.compute.list_value_length(asked).to_numpy()
                 data, of = [t.encode() for t in batch.column("text").to_pylist()], np.repeat(np.arange(len(counts)), counts)
                 pieces = [data[o][b:b + n + match - 1] for o, b, n in zip(of.tolist(), begin.tolist(), strings.tolist())]
                 yield pa.RecordBatch.from_pydict({
                     "gram": flat.field("gram"), "context": flat.field("context"), "row": batch.column("row").take(pa.array(of)),
-                    "place": flat.field("place"), "begin": pa.array(begin), "copies": flat.field("copies"), "bytes": pa.array(pieces, pa.binary()),
+                    "place": flat.field("place"), "begin": pa.array(begin), "before": pa.array((at >> 16) & 0xFFFF),
+                    "copies": flat.field("copies"), "many": flat.field("many"), "bytes": pa.array(pieces, pa.binary()),
+                })
+
+    return run
+
+
+def span_codes(data: np.ndarray, start: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """Codes of the bytes from ``start`` to ``past``, of any lengths."""
+    up, down = _power(len(data) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:len(data)], dtype=np.uint64)))
+    return mix((total[past] - total[start]) * down[start] + (past - start).astype(np.uint64) * np.uint64(1009))
+
+
+_UNIT = "gram long, row long, place {place}, own long, begin long, strings long, core long, whole long"
+
+
+def _units(match: int):
+    """The strings of each context in blocks by their distance to the anchor, at most ``BLOCK`` each.
+
+    ``core`` is a code of the bytes that all strings of the whole block have in common, and
+    ``whole`` one of all bytes of those that are here; both tell blocks apart.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            for batch in slices(given, "bytes", 1_000_000):
+                each = batch.column("bytes").to_pylist()
+                size = np.array([len(x) for x in each], np.int64)
+                offset, n = np.cumsum(size) - size, size - match + 1
+                before = batch.column("before").to_numpy()
+                own = np.repeat(np.arange(len(n)), n)
+                inside = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+                block = (before[own] - inside) // BLOCK
+                first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (block[1:] != block[:-1]))))
+                strings = np.diff(np.append(first, len(own)))
+                own, inside, block = own[first], inside[first], block[first]
+                data, start, anchor = np.frombuffer(b"".join(each), np.uint8), offset[own] + inside, offset[own] + before[own]
+                near, far = block * BLOCK, np.minimum(block * BLOCK + BLOCK - 1, match - GRAM)
+                core = span_codes(data, anchor - near, anchor + match - far)
+                whole = span_codes(data, start, start + strings + match - 1)
+                of = pa.array(own)
+                yield pa.RecordBatch.from_pydict({c: batch.column(c).take(of) for c in ("gram", "row", "place")} | {
+                    "own": batch.column("begin").take(of), "begin": pa.array(batch.column("begin").to_numpy()[own] + inside),
+                    "strings": pa.array(strings), "core": pa.array(mix(core + block.astype(np.uint64)).view(np.int64)),
+                    "whole": pa.array(mix(whole + (before[own] - inside).astype(np.uint64)).view(np.int64)),
                 })
 
     return run
 
 
 def _single_strings(match: int):
-    """Every string of the asked contexts as two codes of its bytes."""
+    """The strings of the asked blocks with codes of their bytes and their distance to the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("asked")):
-                data, asked = np.frombuffer(text.encode(), np.uint8), asked.values
-                begin, n = _unpacked(asked.field("at").to_numpy())
-                of = np.repeat(np.arange(len(n)), n)
-                start = np.repeat(begin, n) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                one, two = string_codes(data, start, match), string_codes(data[::-1], len(data) - match - start, match)
-                yield pa.RecordBatch.from_pydict({
-                    "row": pa.array(np.full(len(of), row), pa.int64()), "place": asked.field("place").take(pa.array(of)),
-                    "copies": asked.field("copies").take(pa.array(of)), "begin": pa.array(start, pa.int64()),
-                    "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
-                })
+            each, asked = batch.column("bytes").to_pylist(), batch.column("asked")
+            size = np.array([len(x) for x in each], np.int64)
+            counts = pa.compute.list_value_length(asked).to_numpy()
+            blocks, context = asked.flatten(), np.repeat(np.arange(len(counts)), counts)
+            n = blocks.field("strings").to_numpy()
+            of = np.repeat(np.arange(len(n)), n)
+            begin = blocks.field("begin").to_numpy()[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            own = context[of]
+            inside = begin - batch.column("begin").to_numpy()[own]
+            code = span_codes(np.frombuffer(b"".join(each), np.uint8), (start := (np.cumsum(size) - size)[own] + inside), start + match)
+            code = mix(code + (batch.column("before").to_numpy()[own] - inside).astype(np.uint64))
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(pa.array(own)) for c in ("gram", "row", "place")} | {
+                "begin": pa.array(begin), "code": pa.array(code.view(np.int64)),
+            })
 
     return run
 
@@ -452,8 +504,8 @@ def _frequent_grams(rows: DataFrame, match: int, schema: str) -> np.ndarray:
     return np.sort(np.array([r.gram for r in found], np.int64))
 
 
-def _hits_of_frequent(members: DataFrame, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Hits of the frequent grams' rows in contexts that occur again; the contexts of grams with several: few, and too many."""
+def _hits_of_frequent(members: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
+    """Hits of the frequent grams' rows in contexts that occur again, and the contexts of grams with several, or ``many``."""
     order = F.struct(F.col("place").isNull(), "place", "at")
     contexts = cut(
         members.groupBy("gram", "context").agg(F.count("*").alias("copies"), F.min_by(F.struct("row", "place", "at"), order).alias("head")),
@@ -464,8 +516,10 @@ def _hits_of_frequent(members: DataFrame, keep: str) -> tuple[DataFrame, DataFra
     if keep == "first":
         rows = rows.filter((F.col("row") != F.col("head.row")) | (F.col("at") != F.col("head.at")))
     sizes = F.broadcast(contexts.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))  # HOT_GRAMS rows at most
-    several = contexts.join(sizes, "gram").select("gram", "context", "head.row", "head.place", "head.at", "copies", "n")
-    return rows.select("row", "at"), several.filter(F.col("n") <= CROWDED).drop("n"), several.filter(F.col("n") > CROWDED).drop("n")
+    several = contexts.join(sizes, "gram")
+    return rows.select("row", "at"), several.select(
+        "gram", "context", "head.row", "head.place", "head.at", "copies", (F.col("n") > CROWDED).alias("many")
+    )
 
 
 def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -484,45 +538,55 @@ def repeated_strings(docs: DataFrame, match: int = MATCH, keep: str = "none", id
     grouped = cut(dealt.mapInArrow(_grouped(keep), named(_GROUPED)), "grouped")
     release(spark)
     hits = grouped.filter(F.col("kind") == HIT).select("row", "at")
-    contexts = grouped.filter(F.col("kind") == CONTEXT).drop("kind")
-    crowded = None
+    contexts = grouped.filter(F.col("kind") == CONTEXT).drop("kind").withColumn("many", F.lit(False))
     if len(hot):
         members = grouped.filter(F.col("kind") == MEMBER).drop("kind")
-        more, few, crowded = _hits_of_frequent(members, keep)
-        hits, contexts = hits.unionByName(more), contexts.unionByName(few)
+        more, several = _hits_of_frequent(members, keep)
+        hits, contexts = hits.unionByName(more), contexts.unionByName(several)
     hits = hits.select("row", _begin_of("at"), _strings_of("at"))
-    asked = contexts.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "place", "at", "copies")).alias("asked"))
-    parts = rows.select("row", "text").join(asked, "row").select("row", "text", "asked").mapInArrow(_context_bytes(match), named(_BYTES))
-    buckets = max(1, -(-contexts.count() // CONTEXTS_PER_BUCKET))
-    judged = parts.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(_judge_bucket(match, keep), _HIT)
+    asked = contexts.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "place", "at", "copies", "many")).alias("asked"))
+    parts = rows.select("row", "text").join(asked, "row").select("row", "text", "asked")
+    parts = cut(parts.mapInArrow(_context_bytes(match), named(_BYTES)), "parts")
+    release(spark)
+    few, many = parts.filter("not many"), parts.filter("many")
+    buckets = max(1, -(-few.count() // CONTEXTS_PER_BUCKET))
+    judged = few.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(_judge_bucket(match, keep), _HIT)
     hits = hits.unionByName(judged)
-    if crowded is not None and not crowded.isEmpty():
-        hits = hits.unionByName(_crowded_hits(rows, crowded, match, keep, named("row long, place {place}, copies long, begin long, one long, two long")))
+    if not many.isEmpty():
+        hits = hits.unionByName(_crowded_hits(many, match, keep, kind))
     hits = cut(hits.groupBy("row").agg(F.collect_list(F.struct("begin", "strings")).alias("hits")), "hits")
     release(spark)
     return hits
 
 
-def _crowded_hits(rows: DataFrame, contexts: DataFrame, match: int, keep: str, schema: str) -> DataFrame:
+def _crowded_hits(contexts: DataFrame, match: int, keep: str, kind: str) -> DataFrame:
     """(row, begin, strings) for first members of contexts of grams with more of them than one task should hold.
 
-    A passage that many texts share, each with other text around it, makes one context per text.
-    These are divided into their single strings, which are counted by code where they are first;
-    most are alone or all alike, so no task gathers them.
+    Most blocks are decided by counts: bytes that all its strings share and no other context has
+    leave a block without a match, and equal blocks match string by string. What is left, and the
+    first of equal blocks as a partner for it, is counted by single strings.
     """
-    asked = contexts.groupBy("row").agg(F.collect_list(F.struct("place", "at", "copies")).alias("asked"))
+    first = lambda *more: F.min(F.struct(F.col("place").isNull().alias("none"), "place", "begin", "row", *more)).alias("head")
+    is_first = (F.col("row") == F.col("head.row")) & (F.col("begin") == F.col("head.begin"))
+    units = cut(contexts.mapInArrow(_units(match), _UNIT.format(place=kind)), "units")
+    cores = cut(units.groupBy("gram", "core").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
+    alike = cut(units.groupBy("gram", "whole").agg(F.count("*").alias("m"), first()).filter("m > 1"), "alike")
+    met = join_groups(join_groups(units, cores, ["gram", "core"], "n"), alike, ["gram", "whole"], "m", "left")
+    met = cut(met.drop("core", "whole"), "met")
+    same = met.filter(F.col("head").isNotNull())
+    hits = (same if keep == "none" else same.filter(~is_first)).select("row", "begin", "strings")
+    open_ = met.filter(F.col("head").isNull() | (is_first & (F.col("n") > F.col("m"))))
+    asked = open_.groupBy("row", "own").agg(F.collect_list(F.struct("begin", "strings")).alias("asked"))
     singles = cut(
-        rows.select("row", "text").join(asked, "row").select("row", "text", "asked")
-        .mapInArrow(_single_strings(match), schema).dropDuplicates(["row", "begin"]),
+        contexts.join(asked.withColumnRenamed("own", "begin"), ["row", "begin"])
+        .mapInArrow(_single_strings(match), f"gram long, row long, place {kind}, begin long, code long"),
         "singles",
     )
-    heads = singles.groupBy("one", "two").agg(
-        F.count("*").alias("n"), F.sum("copies").alias("total"), F.min(F.struct(F.col("place").isNull().alias("none"), "place", "begin", "row")).alias("head")
-    )
-    judged = join_groups(singles, cut(heads.filter("total > 1"), "heads"), ["one", "two"], "n")
+    heads = cut(singles.groupBy("gram", "code").agg(F.count("*").alias("n"), first()).filter("n > 1"), "heads")
+    found = join_groups(singles, heads, ["gram", "code"], "n")
     if keep == "first":
-        judged = judged.filter((F.col("row") != F.col("head.row")) | (F.col("begin") != F.col("head.begin")))
-    return judged.select("row", "begin", F.lit(1).cast("long").alias("strings"))
+        found = found.filter(~is_first)
+    return hits.unionByName(found.select("row", "begin", F.lit(1).cast("long").alias("strings")))
 
 
 def _cut_out(docs: DataFrame, match: int, keep: str, id_col: str, text_col: str, columns: list[str], with_text: bool) -> DataFrame:

@@ -45,7 +45,7 @@ def test_psv_and_lpf_against_plain_versions():
 
 
 @pytest.mark.parametrize("keep,crowded,frequent", [
-    ("none", 20_000, 10), ("first", 20_000, 10), ("none", 20_000, 3), ("first", 20_000, 3), ("none", 2, 3), ("first", 2, 3),
+    ("none", 20_000, 10), ("first", 20_000, 10), ("none", 20_000, 3), ("first", 20_000, 3), ("none", 2, 3), ("first", 2, 3), ("none", 1, 2), ("first", 1, 2),
 ])
 def test_digest_against_all_strings(spark, monkeypatch, keep, crowded, frequent):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
