@@ -19,12 +19,15 @@ ORACLES: dict[str, str] = {}
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows are texts of any length: batches for Python and row groups are bounded by bytes.
 TEXT_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "parquet.block.size": str(16 << 20)}
+# Workers are reused by many steps: large arrays go back to the system when they are freed.
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "1000000", "MALLOC_TRIM_THRESHOLD_": "1000000", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 WHITE = r"[\x20\x09-\x0D]+"  # separators of the white-space words
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Required settings, and this package on the workers' path: Spark serves it from the driver."""
     sc = spark.sparkContext
+    sc.environment.update(WORKER_ENV)
     if not getattr(sc, "_ledgerloom_shipped", False):
         package = Path(__file__).resolve().parent.parent
         archive = Path(tempfile.mkdtemp(prefix="ledgerloom-")) / "ledgerloom.zip"
@@ -80,10 +83,10 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text
 
     The list is matched null-safe on the id; all columns and repeated rows are kept as they are.
     """
-    code = free_name(docs, "_row_code")
-    listed = verdicts.select(F.col("doc_id").alias("_listed_id"), F.col("code").alias("_listed_code"))
+    code, listed_id, listed_code = (free_name(docs, c) for c in ("_row_code", "_listed_id", "_listed_code"))
+    listed = verdicts.select(F.col("doc_id").alias(listed_id), F.col("code").alias(listed_code))
     coded = docs.withColumn(code, row_code(id_col, text_col))
-    same = (F.col(code) == F.col("_listed_code")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_listed_id"))
+    same = (F.col(code) == F.col(listed_code)) & F.col(f"`{id_col}`").eqNullSafe(F.col(listed_id))
     return coded.join(listed, same, "left_anti").drop(code)
 
 

@@ -139,19 +139,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         return keep_rows(docs, verdict.filter("contaminated").select("doc_id", "code").distinct(), id_col, text_col)
     if remove != "spans":
         raise ValueError("remove must be 'documents' or 'spans'")
+    hit_id, hit_code, hit_spans = (free_name(docs, c) for c in ("_hit_id", "_hit_code", "_hit_spans"))
     found = verdict.filter("n_hit > 0").select(
-        F.col("doc_id").alias("_hit_id"), F.col("code").alias("_hit_code"), F.col("spans").alias("_hit_spans")
-    ).dropDuplicates(["_hit_id", "_hit_code"])
+        F.col("doc_id").alias(hit_id), F.col("code").alias(hit_code), F.col("spans").alias(hit_spans)
+    ).dropDuplicates([hit_id, hit_code])
     code, pieces = free_name(docs, "_row_code"), free_name(docs, "_pieces")
     upper = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
     text = F.col(f"`{text_col}`")
-    same = (F.col(code) == F.col("_hit_code")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_hit_id"))
+    same = (F.col(code) == F.col(hit_code)) & F.col(f"`{id_col}`").eqNullSafe(F.col(hit_id))
     joined = docs.withColumn(code, row_code(id_col, text_col)).join(found, same, "left")
     joined = joined.withColumn(pieces, F.regexp_extract_all(text, F.lit(f"(?s).*?{upper}"), F.lit(0)))
-    inside = lambda i: F.exists("_hit_spans", lambda s: (i + 1 >= s["at"]) & (i + 1 < s["end"]))
+    inside = lambda i: F.exists(hit_spans, lambda s: (i + 1 >= s["at"]) & (i + 1 < s["end"]))
     kept = F.array_join(F.filter(F.col(pieces), lambda p, i: ~inside(i)), "")
     rest = F.substring(text, F.length(F.array_join(F.col(pieces), "")) + 1, F.length(text))
-    cleaned = F.when(F.col("_hit_spans").isNotNull(), F.concat(kept, rest)).otherwise(text)
+    cleaned = F.when(F.col(hit_spans).isNotNull(), F.concat(kept, rest)).otherwise(text)
     return joined.select(*[cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 

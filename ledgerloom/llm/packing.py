@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, i
         for whole in batches:
             for batch in slices(whole, "text", BYTES_PER_CALL):
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                given = [t or "" for t in batch.column("text").to_pylist()]
+                id_type, given = batch.column("doc_id").type, [t or "" for t in batch.column("text").to_pylist()]
                 for i, ids in zip(batch.column("doc_id").to_pylist(), encode(given)):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), step)):
@@ -59,7 +59,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, i
                 yield pa.RecordBatch.from_pydict(arrays)
 
     rows = texts(docs, id_col, text_col)
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[rows.dtypes[0][1]]
     schema = f"doc_id {rows.dtypes[0][1]}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     return rows.mapInArrow(run, schema)
 
