@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ..graph import classes
+from ..graph.classes import LARGE
 from ..graph.subgraph import top_nodes
 from ..operators import edges as ed
 from ..operators import projection as pj
@@ -278,7 +280,14 @@ from e group by 1, 2"""
 NEEDS["lastwriter"] = ["tx_orders"]
 
 
-@query("edges_lastwriter", f"{views('lastwriter')} select * from lastwriter")
+@query("edges_lastwriter", f"""{views('lastwriter')},
+sess as materialized (select session_id as hub, client_id, count(*) as n from tx_orders where session_id is not null group by 1, 2),
+size as materialized (select hub, count(*) as clients from sess group by 1 having sum(n) >= 6),
+few as materialized (select distinct a.client_id as src, b.client_id as dst from sess a join sess b on a.hub = b.hub and a.client_id < b.client_id
+  join size on size.hub = a.hub where clients <= {ed.LARGE_SESSION})
+select l.* from lastwriter l left join few f on f.src = l.src and f.dst = l.dst
+where l.relationship <> 'session_shared' or l.src = l.dst or f.src is not null
+union all select client_id, hub, 'session_shared_hub', cast(0.5 as double) from sess join size using (hub) where clients > {ed.LARGE_SESSION}""")
 def q_lastwriter(spark, sf):
     return ed.last_writer_graph(tx_orders(spark, sf))
 
@@ -308,9 +317,25 @@ VIEWS["projected"] = """select a.client_id as src, b.client_id as dst, count(*)
   join incidence b on a.hub = b.hub and a.client_id < b.client_id
   where a.client_id in (select client_id from top) and b.client_id in (select client_id from top) group by 1, 2"""
 NEEDS["projected"] = ["incidence", "top"]
+VIEWS["all_projected"] = """select a.client_id as src, b.client_id as dst, count(*) as shared, ln(1 + count(*)) as weight from incidence a
+  join incidence b on a.hub = b.hub and a.client_id < b.client_id group by 1, 2"""
+NEEDS["all_projected"] = ["incidence"]
+# Classes by the set of hubs above the bound, and the pairs that are listed: those in smaller hubs, and transfers.
+VIEWS["classes"] = f"""select client_id, min(client_id) over (partition by s) as cls from
+(select client_id, list_sort(list(hub)) as s from incidence where hub in (select hub from hub_count where n_clients > {LARGE}) group by 1)"""
+NEEDS["classes"] = ["incidence", "hub_count"]
+VIEWS["small_pairs"] = f"""select distinct a.client_id as src, b.client_id as dst from incidence a join incidence b on a.hub = b.hub and a.client_id < b.client_id
+where a.hub in (select hub from hub_count where n_clients <= {LARGE})"""
+NEEDS["small_pairs"] = ["incidence", "hub_count"]
 VIEWS["collapsed"] = """select client_id as src, recipient_id as dst, arg_max(amount, row(datetime, transaction_id)) as amount,
 max(datetime) as datetime from tx_orders where transaction_type = 'p2p' and recipient_id is not null group by 1, 2"""
 NEEDS["collapsed"] = ["tx_orders"]
+VIEWS["sent"] = """select least(src, dst) as src, greatest(src, dst) as dst, sum(ln(1 + amount)) as w, count(*) as c from collapsed group by 1, 2"""
+NEEDS["sent"] = ["collapsed"]
+VIEWS["all_merged"] = """select coalesce(p.src, t.src) as src, coalesce(p.dst, t.dst) as dst, coalesce(shared, 0) as shared,
+  coalesce(p.weight, 0) + coalesce(t.w, 0) as weight, case when p.src is null then 'p2p' else 'shared' end as layer, t.c as p2p_count
+from all_projected p full join sent t on p.src = t.src and p.dst = t.dst where coalesce(p.weight, 0) + coalesce(t.w, 0) >= 1"""
+NEEDS["all_merged"] = ["all_projected", "sent"]
 VIEWS["merged"] = """with t as (select least(src, dst) as src, greatest(src, dst) as dst, sum(ln(1 + amount)) as w, count(*) as c
   from collapsed where src in (select client_id from top) and dst in (select client_id from top) group by 1, 2)
 select coalesce(p.src, t.src) as src, coalesce(p.dst, t.dst) as dst, coalesce(p.weight, 0) + coalesce(t.w, 0) as weight,
@@ -325,9 +350,32 @@ def q_incidence(spark, sf):
     return pj.incidence(tx_orders(spark, sf))
 
 
-@query("projection", f"{views('projected')} select src, dst, shared, round(weight, 6) as weight from projected")
+def _compressed_sql(edges: str, listed: str) -> str:
+    """Rows of ``edges`` that are in ``listed`` as they are, the others by pair of classes."""
+    return f"""listed as materialized ({listed}),
+rows_ as (select e.*, l.src is not null as one, a.cls as ca, b.cls as cb from {edges} e left join listed l using (src, dst)
+  left join classes a on a.client_id = e.src left join classes b on b.client_id = e.dst)
+select 'pair' as level, src, dst, shared, round(weight, 6) as weight, layer, p2p_count, 1 as n_pairs from rows_ where one
+union all select 'class', least(ca, cb), greatest(ca, cb), shared, round(any_value(weight), 6), 'shared', null, count(*) from rows_ where not one group by 2, 3, 4"""
+
+
+@query("projection", f"""{views('all_projected', 'classes', 'small_pairs')}, tagged as (select *, 'shared' as layer, cast(null as bigint) as p2p_count from all_projected),
+{_compressed_sql('tagged', 'select * from small_pairs')}""")
+def q_projection_all(spark, sf):
+    """Every pair of clients that shares a hub, whatever its size; pairs that differ in nothing are one row of their classes."""
+    return rounded(classes.compressed_rows(classes.class_graph(tx_orders(spark, sf), min_weight=0.0, transfers=False)), 6, "weight")
+
+
+@query("merged_graph", f"""{views('all_merged', 'classes', 'small_pairs')},
+{_compressed_sql('all_merged', 'select * from small_pairs union select src, dst from sent')}""")
+def q_merged_all(spark, sf):
+    """Every edge of projection plus transfers with a weight of 1 or more, in the same form."""
+    return rounded(classes.compressed_rows(classes.class_graph(tx_orders(spark, sf))), 6, "weight")
+
+
+@query("projection_top", f"{views('projected')} select src, dst, shared, round(weight, 6) as weight from projected")
 def q_projection(spark, sf):
-    """All hubs count; pairs are listed between the most active clients."""
+    """A report of the most active clients: all hubs count, pairs are listed between them."""
     tx = tx_orders(spark, sf)
     return rounded(pj.project(pj.incidence(tx), most_active(tx, TOP)), 6, "weight")
 
@@ -355,7 +403,7 @@ def q_collapsed(spark, sf):
     return df.withColumn("datetime", second_text(F.col("datetime")))
 
 
-@query("merged_graph", f"{views('merged')} select src, dst, round(weight, 6) as weight, layer, p2p_count from merged")
+@query("merged_graph_top", f"{views('merged')} select src, dst, round(weight, 6) as weight, layer, p2p_count from merged")
 def q_merged(spark, sf):
     tx = tx_orders(spark, sf)
     return rounded(pj.merged_graph(tx, nodes=most_active(tx, TOP)), 6, "weight")

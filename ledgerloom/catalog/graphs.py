@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.text import node_type
+from ..graph import classes
 from ..graph import clustering as cl
 from ..graph import components as cc
 from ..graph import degrees as dg
@@ -17,7 +18,7 @@ from ..operators import edges as ed
 from ..operators.categories import fill_categories
 from ..plans import marts, reports
 from ..session import cut
-from .base import NEEDS, VIEWS, exact_mean, masked_orders, query, rounded, second_text, tx_orders, views
+from .base import NEEDS, ORACLES, VIEWS, exact_mean, masked_orders, query, rounded, second_text, tx_orders, views
 from .edges import _RAW_P2P, _SEQUENTIAL, _WITHDRAWAL, final_edges
 
 # --- graphs -----------------------------------------------------------------------------------
@@ -108,14 +109,17 @@ def pagerank_weighted_sql(edges: str, rounds: int) -> str:
 
 _METRICS = """metrics as materialized (select id, sum(weight) as w_degree, count(*) as degree from
 (select src as id, weight from edges union all select dst, weight from edges) group by 1)"""
-_COMMUNITIES = f"""{lpa_sql('edges', 10)}, {pagerank_sql('edges', 20)}, {_METRICS},
+
+
+def _communities_sql(edges: str) -> str:
+    return f"""{lpa_sql(edges, 10)}, {pagerank_sql(edges, 20)}, {_METRICS.replace('from edges', f'from {edges}')},
 communities as materialized (select id as client_id, label as community_id, influence_score,
   count(*) over (partition by label) as community_size, w_degree, degree
   from lp10 join pr using (id) join metrics using (id))"""
 
 
-def communities(spark, sf):
-    return marts.client_communities(final_edges(spark, sf))
+def communities(spark, sf, graph=final_edges):
+    return marts.client_communities(graph(spark, sf))
 
 
 # --- measures ---------------------------------------------------------------------------------
@@ -229,6 +233,79 @@ def q_diameter(spark, sf):
     return paths.diameter(ed.induced(graph, lcc)).select("diameter", "exact")
 
 
+# --- measures of the whole merged graph ---------------------------------------------------------------
+
+_NODES = "nodes as materialized (select client_id as id from incidence union select src from sent union select dst from sent)"
+_ENDS = """ends as materialized (select src, dst, weight from all_merged union all select dst, src, weight from all_merged where src <> dst)"""
+_MERGED = f"{views('all_merged')}, {_NODES}, {_ENDS}"
+
+
+def _merged(spark, sf):
+    return classes.class_graph(tx_orders(spark, sf))
+
+
+@query("merged_degrees", f"""{_MERGED} select id, count(src) as degree, round(coalesce(sum(weight), 0), 5) as w_degree
+from nodes left join ends on src = id group by 1""")
+def q_merged_degrees(spark, sf):
+    return rounded(classes.merged_degrees(_merged(spark, sf)), 5, "w_degree")
+
+
+@query("merged_density", f"""{_MERGED}, n as (select count(*) as n from nodes), m as (select count(*) as m from all_merged)
+select n as nodes, m as edges, round(2 * m / (n * (n - 1)), 9) as density, round(2 * m / n, 6) as avg_degree from n, m""")
+def q_merged_density(spark, sf):
+    return rounded(rounded(classes.merged_density(_merged(spark, sf)), 9, "density"), 6, "avg_degree")
+
+
+def _settled_pagerank_sql(rounds: int) -> str:
+    """Rounds on ``ends`` until the summed change is below nodes * 1e-6; the first such round is the result."""
+    parts = ["outs as materialized (select id, coalesce(sum(weight), 0) as o from nodes left join ends on src = id group by 1)",
+             "many as materialized (select count(*) as n from nodes)",
+             "r0 as materialized (select id, 1.0 / n as r, cast(null as double) as moved from nodes, many)"]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"r{i} as materialized (select p.id, (0.85 * (select coalesce(sum(q.r), 0) from r{i - 1} q join outs using (id) where o = 0) + 0.15) / n "
+            f"+ 0.85 * coalesce(s, 0) as r, abs((0.85 * (select coalesce(sum(q.r), 0) from r{i - 1} q join outs using (id) where o = 0) + 0.15) / n "
+            f"+ 0.85 * coalesce(s, 0) - p.r) as moved from r{i - 1} p left join (select dst as id, sum(q.r * weight / o) as s "
+            f"from ends join r{i - 1} q on q.id = src join outs u on u.id = src group by 1) m on m.id = p.id, many)"
+        )
+    still = [f"(select sum(moved) from r{i}) >= (select n from many) * 1e-6" for i in range(1, rounds + 1)]
+    picks = []
+    for i in range(1, rounds + 1):
+        before = " and ".join(["true", *still[:i - 1]])
+        picks.append(f"select id, round(r, 9) as influence_score from r{i} where {before} and not ({still[i - 1]})")
+    return ", ".join(parts) + " " + " union all ".join(picks)
+
+
+@query("merged_pagerank", f"{_MERGED}, {_settled_pagerank_sql(12)}")
+def q_merged_pagerank(spark, sf):
+    return rounded(classes.merged_pagerank(_merged(spark, sf)), 9, "influence_score")
+
+
+_LABEL_ROUNDS = ", ".join(
+    ["m0 as materialized (select id, id as label from nodes)"]
+    + [f"m{i} as materialized (select p.id, least(any_value(p.label), coalesce(min(q.label), any_value(p.label))) as label from m{i - 1} p "
+       f"left join ends on dst = p.id left join m{i - 1} q on q.id = src group by 1)" for i in range(1, 9)]
+)
+
+
+@query("merged_components", f"{_MERGED}, {_LABEL_ROUNDS} select id, label as component from m8")
+def q_merged_components(spark, sf):
+    return classes.merged_components(_merged(spark, sf))
+
+
+@query("merged_modularity", f"""{_MERGED}, lab as materialized (select id, any_value(region) as community_id from nodes join
+  (select client_id as id, region from tx_orders where region is not null group by 1, 2) using (id) group by 1),
+d as (select community_id, sum(case when src = dst then 2 * weight else weight end) as deg from ends join lab on lab.id = src group by 1),
+i as (select a.community_id, sum(case when src = dst then 2 * weight else weight end) as twice from ends join lab a on a.id = src join lab b on b.id = dst
+  where a.community_id = b.community_id group by 1),
+t as (select sum(deg) as t from d)
+select round(sum(coalesce(twice, 0) / t - (deg / t) ** 2), 6) as modularity from d left join i using (community_id), t""")
+def q_merged_modularity(spark, sf):
+    """How far the clients of a region keep to themselves. A client is in one region."""
+    region = tx_orders(spark, sf).filter("region is not null").groupBy(F.col("client_id").alias("id")).agg(F.min("region").alias("community_id"))
+    return rounded(classes.merged_modularity(_merged(spark, sf), region), 6, "modularity")
+
+
 _LINK_LPA = f"{views('links')}, {lpa_sql('links', 10)}"
 
 
@@ -275,7 +352,7 @@ def q_sampled(spark, sf):
 
 # --- communities and subgraphs -------------------------------------------------------------------
 
-_C = f"{views('edges')}, {_COMMUNITIES}"
+_C = f"{views('edges')}, {_communities_sql('edges')}"
 
 
 @query("communities", f"""{_C} select client_id, community_id, round(influence_score, 6) as influence_score, community_size,
@@ -284,8 +361,8 @@ def q_communities(spark, sf):
     return rounded(communities(spark, sf), 6, "influence_score", "w_degree")
 
 
-def _lpa(spark, sf):
-    edges = cut(final_edges(spark, sf).select("src", "dst", "weight"), "graph")
+def _lpa(spark, sf, graph=final_edges):
+    edges = cut(graph(spark, sf).select("src", "dst", "weight"), "graph")
     return edges, label_propagation(edges, 10)
 
 
@@ -409,8 +486,8 @@ _FACT = f"""fact as materialized (select {_FACT_COLUMNS}, {_CATEGORY} as categor
 from masked left join communities using (client_id))"""
 
 
-def _fact_inputs(spark, sf):
-    return fill_categories(masked_orders(spark, sf)), cut(communities(spark, sf), "communities")
+def _fact_inputs(spark, sf, graph=final_edges):
+    return fill_categories(masked_orders(spark, sf)), cut(communities(spark, sf, graph), "communities")
 
 
 @query("graph_fact", f"""{_C}, {_FACT} select * replace (round(influence_score, 6) as influence_score, round(w_degree, 6) as w_degree),
@@ -441,16 +518,16 @@ def q_upsert(spark, sf):
 _LABELLED = f"{_L}, labelled as materialized (select t.*, label as community_id from masked t join lp10 on id = client_id)"
 
 
-def _labelled(spark, sf):
-    membership = _lpa(spark, sf)[1]
+def _labelled(spark, sf, graph=final_edges):
+    membership = _lpa(spark, sf, graph)[1]
     return masked_orders(spark, sf).join(membership.withColumnRenamed("id", "client_id"), "client_id")
 
 
 @query("community_amounts", f"""{_LABELLED}
 select community_id, round(sum(amount) * 100) / (count(*) * 100.0) as mean, round(median(amount), 4) as median,
 min(amount) as min, max(amount) as max, count(*) as count from labelled group by 1""")
-def q_amounts(spark, sf):
-    df = agg.group_statistics(_labelled(spark, sf), "community_id", "amount")
+def q_amounts(spark, sf, graph=final_edges):
+    df = agg.group_statistics(_labelled(spark, sf, graph), "community_id", "amount")
     return rounded(df.withColumn("mean", exact_mean(F.col("mean"), F.col("count"))), 4, "median")
 
 
@@ -458,31 +535,31 @@ def q_amounts(spark, sf):
 select community_id, round(count(*) filter (where transaction_type = 'deposit') / count(*), 6) as deposit,
 round(count(*) filter (where transaction_type = 'p2p') / count(*), 6) as p2p,
 round(count(*) filter (where transaction_type = 'withdrawal') / count(*), 6) as withdrawal from labelled group by 1""")
-def q_mix(spark, sf):
+def q_mix(spark, sf, graph=final_edges):
     kinds = ["deposit", "p2p", "withdrawal"]
-    return rounded(agg.mix(_labelled(spark, sf), "community_id", "transaction_type", kinds), 6, *kinds)
+    return rounded(agg.mix(_labelled(spark, sf, graph), "community_id", "transaction_type", kinds), 6, *kinds)
 
 
 @query("dominant_type", f"""{_LABELLED}
 select community_id, transaction_type as dominant from (select community_id, transaction_type, count(*) as n from labelled group by 1, 2)
 qualify row_number() over (partition by community_id order by n desc, transaction_type) = 1""")
-def q_dominant(spark, sf):
-    return agg.dominant(_labelled(spark, sf), "community_id", "transaction_type")
+def q_dominant(spark, sf, graph=final_edges):
+    return agg.dominant(_labelled(spark, sf, graph), "community_id", "transaction_type")
 
 
 @query("top_merchants", f"""{_LABELLED}
 select community_id, merchant, n, cast(rn as integer) as rank from (select *, row_number() over (partition by community_id order by n desc, merchant) as rn
 from (select community_id, merchant, count(*) as n from labelled where merchant is not null group by 1, 2)) where rn <= 3""")
-def q_community_merchants(spark, sf):
-    counts = agg.group_counts(_labelled(spark, sf).filter(F.col("merchant").isNotNull()), "community_id", "merchant")
+def q_community_merchants(spark, sf, graph=final_edges):
+    counts = agg.group_counts(_labelled(spark, sf, graph).filter(F.col("merchant").isNotNull()), "community_id", "merchant")
     return agg.top_per_group(counts, "community_id", "n", "merchant", 3)
 
 
 @query("leaders", f"""{_C}
 select community_id, client_id, cast(rn as integer) as rank from (select *, row_number() over (partition by community_id
 order by round(influence_score, 9) desc, client_id) as rn from communities) where rn <= 3""")
-def q_leaders(spark, sf):
-    table = communities(spark, sf).withColumn("influence_score", F.round("influence_score", 9))
+def q_leaders(spark, sf, graph=final_edges):
+    table = communities(spark, sf, graph).withColumn("influence_score", F.round("influence_score", 9))
     return agg.top_per_group(table, "community_id", "influence_score", "client_id", 3).select("community_id", "client_id", "rank")
 
 
@@ -509,13 +586,34 @@ else 'Рекомендация: Провести дополнительный а
   || 'Предложить: базовые программы лояльности.' end as recommendation
 from sizes left join kinds using (community_id) left join shops using (community_id) left join means using (community_id)
 left join heads h using (community_id)""")
-def q_recommendations(spark, sf):
-    tx, table = masked_orders(spark, sf), cut(communities(spark, sf), "communities")
+def q_recommendations(spark, sf, graph=final_edges):
+    tx, table = masked_orders(spark, sf), cut(communities(spark, sf, graph), "communities")
     table = table.withColumn("influence_score", F.round("influence_score", 9))
     return reports.recommendations(table, tx).drop("avg_amount")
 
 
 @query("community_tx_count", f"""{_C}, {_FACT}
 select community_id, count(*) as tx_count from fact group by 1 order by tx_count desc, community_id nulls last limit 10000""")
-def q_tx_count(spark, sf):
-    return agg.transactions_per_community(marts.graph_fact(None, *_fact_inputs(spark, sf)), 10_000)
+def q_tx_count(spark, sf, graph=final_edges):
+    return agg.transactions_per_community(marts.graph_fact(None, *_fact_inputs(spark, sf, graph)), 10_000)
+
+
+# --- the same reports on the graph of many communities ----------------------------------------------
+
+_ON_LINKS = {
+    _C: f"{views('links', 'masked')}, {_communities_sql('links')}",
+    _L: f"{views('links', 'masked')}, {lpa_sql('links', 10)}",
+}
+REPORTS = {
+    "community_amounts": q_amounts, "type_mix": q_mix, "dominant_type": q_dominant, "top_merchants": q_community_merchants,
+    "leaders": q_leaders, "recommendations": q_recommendations, "community_tx_count": q_tx_count,
+}
+
+
+def _register_on_links(name, report):
+    head = next(h for h in _ON_LINKS if ORACLES[name].startswith(h))
+    query(f"{name}_links", _ON_LINKS[head] + ORACLES[name][len(head):])(lambda spark, sf: report(spark, sf, link_graph))
+
+
+for _name, _report in REPORTS.items():
+    _register_on_links(_name, _report)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ordered_pair
 from ..functions.times import grain, minute_label
+from ..session import cut
 
 
 @dataclass(frozen=True)
@@ -394,12 +395,13 @@ def merge_last_writer(edges: DataFrame) -> DataFrame:
     )
 
 
-def last_writer_graph(tx: DataFrame) -> DataFrame:
+LARGE_SESSION = 100  # clients beyond which a session's pairs are not listed
+
+
+def last_writer_pairs(tx: DataFrame) -> DataFrame:
     """The undirected graph of sequential, transfer, session and withdrawal edges, all pairs listed.
 
-    Only one kind can win a pair, so this graph has no form without pairs. Sessions and
-    withdrawals of one place and instant are small by nature; a hub that isn't costs the square
-    of its clients.
+    A session costs the square of its clients; :func:`last_writer_graph` holds the same edges without that.
     """
     columns = ["src", "dst", "relationship", "weight"]
     edges = (
@@ -409,3 +411,36 @@ def last_writer_graph(tx: DataFrame) -> DataFrame:
         .unionByName(withdrawal_edges(tx, True, collapse=False).select(*columns))
     )
     return merge_last_writer(edges)
+
+
+def last_writer_graph(tx: DataFrame, large: int = LARGE_SESSION) -> DataFrame:
+    """(src, dst, relationship, weight): the same graph with large sessions as client-to-hub rows and overrides.
+
+    Sessions of more than ``large`` clients stay whole, as ``session_shared_hub`` rows. A listed
+    pair holds its final edge and goes before hub rows: withdrawals overwrite a session's edge,
+    and transfers and sequential edges are listed only where no session links the two. Loops of
+    clients with several rows in a large session are listed.
+    """
+    columns = ["src", "dst", "relationship", "weight"]
+    hubs = cut(session_edges(tx), "session-hubs")
+    big = cut(hubs.groupBy("dst").agg(F.count("*").alias("n_clients")).filter(F.col("n_clients") > large).select("dst"), "large-sessions")
+    members = cut(hubs.join(big, "dst", "left_semi").select(F.col("src").alias("client_id"), F.col("dst").alias("hub"), "relationship", "weight", "multiplicity"), "members")
+    pair = F.lit("session_shared")
+    loops = members.filter("multiplicity > 1").select(F.col("client_id").alias("src"), F.col("client_id").alias("dst"), pair.alias("relationship"), "weight")
+    few = tx.join(big.withColumnRenamed("dst", "session_id"), "session_id", "left_anti")
+    listed = cut(
+        merge_last_writer(
+            sequential_edges(tx).unionByName(raw_transfer_pairs(tx)).unionByName(loops)
+            .unionByName(session_edges(few, True, collapse=False).select(*columns))
+            .unionByName(withdrawal_edges(tx, True, collapse=False).select(*columns))
+        ),
+        "listed",
+    )
+    weaker = F.array_position(F.array(*[F.lit(k) for k in MERGE_ORDER]), F.col("relationship")) < MERGE_ORDER.index("session_shared") + 1
+    ends = members.select("hub", F.col("client_id").alias("src"))
+    hidden = (
+        listed.filter(weaker & (F.col("src") != F.col("dst"))).select("src", "dst").join(ends, "src")
+        .join(ends.withColumnRenamed("src", "dst"), ["hub", "dst"]).select("src", "dst").distinct()
+    )
+    shown = listed.filter(~weaker | (F.col("src") == F.col("dst"))).unionByName(listed.filter(weaker & (F.col("src") != F.col("dst"))).join(hidden, ["src", "dst"], "left_anti"))
+    return shown.unionByName(members.select(F.col("client_id").alias("src"), F.col("hub").alias("dst"), "relationship", "weight"))

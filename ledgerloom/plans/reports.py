@@ -137,7 +137,8 @@ def recommendations(communities: DataFrame, tx: DataFrame) -> DataFrame:
     )
     kind = F.coalesce("dominant_tx_type", F.lit("unknown"))
     lead, shop = F.coalesce("leader", F.lit("N/A")), F.coalesce("top_merchant", F.lit("N/A"))
-    money = F.format_string("%.2f", F.coalesce("avg_amount", F.lit(0.0)))
+    # Half cents go up, whatever the last bits of a sum are.
+    money = F.format_string("%.2f", F.round(F.coalesce("avg_amount", F.lit(0.0)), 6))
     advice = (
         F.when(kind == "p2p", F.format_string(P2P_TEXT, lead))
         .when(kind == "deposit", F.format_string(DEPOSIT_TEXT, lead))

@@ -138,6 +138,26 @@ def test_last_writer_wins_in_kind_order(spark):
     assert got == [("a", "b", "session_shared", 0.5), ("c", "d", "p2p", 10.0)]
 
 
+def test_last_writer_graph_holds_the_listed_pairs(spark):
+    import random
+
+    rnd = random.Random(2)
+    rows = [dict(client_id=f"c{rnd.randrange(30)}", session_id=rnd.choice(["big", "big", f"s{i % 9}", None]), merchant=f"m{i % 20}",
+                 region=rnd.choice(["N", "S"]), transaction_type=rnd.choice(["p2p", "withdrawal"]), recipient_id=f"c{rnd.randrange(35)}",
+                 datetime=T0 + timedelta(hours=rnd.randrange(30))) for i in range(200)]
+    tx = frame(spark, rows)
+    plain = {(r.src, r.dst): (r.relationship, r.weight) for r in ed.last_writer_pairs(tx).collect()}
+    made = ed.last_writer_graph(tx, large=10).collect()
+    hubs = {}
+    for r in made:
+        if r.relationship == "session_shared_hub":
+            hubs.setdefault(r.dst, set()).add(r.src)
+    assert set(hubs) == {"big"}
+    got = {p: ("session_shared", 0.5) for m in hubs.values() for p in combinations(sorted(m), 2)}
+    got.update({(r.src, r.dst): (r.relationship, r.weight) for r in made if r.relationship != "session_shared_hub"})
+    assert got == plain and len({k for k, _ in plain.values()}) > 2
+
+
 def test_incidence_keeps_missing_region_of_cash_points(spark):
     rows = [dict(client_id="a", transaction_type="withdrawal"), dict(client_id="a", transaction_type="deposit")]
     hubs = {r.hub: r.weight for r in pj.incidence(frame(spark, rows)).collect()}

@@ -225,7 +225,7 @@ def test_the_betweenness_query_takes_500_sources(spark, monkeypatch):
 
 def test_betweenness_in_batches(spark):
     edges = GRAPHS["random"]
-    got = as_dict(paths.betweenness(frame(spark, edges), batch=10))
+    got = as_dict(paths.betweenness(frame(spark, edges), rows=10 * 12))
     want = ref.betweenness(edges, sorted(ref.neighbours(edges)))
     assert all(abs(got[v] - want[v]) < 1e-9 for v in want)
 
@@ -249,3 +249,46 @@ def test_subgraphs(spark):
     one = sorted(map(tuple, subgraph.sampled_subgraph(edges, 2, seed=7).collect()))
     assert one == sorted(map(tuple, subgraph.sampled_subgraph(edges, 2, seed=7).collect()))
     assert subgraph.random_neighbourhood(edges, 2).count() >= 2
+
+
+def test_merged_graph_in_classes_against_listed_pairs(spark):
+    from datetime import datetime
+
+    from ledgerloom.graph import classes
+    from ledgerloom.operators import projection as pj
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(90):
+        c = f"client_{rnd.randrange(24)}"
+        rows.append((f"t{i}", c, datetime(2024, 1, 1, rnd.randrange(24)), float(rnd.randint(1, 50)), rnd.choice(["Amazon", "Ozon", f"m{i % 9}", None]),
+                     rnd.choice(["p2p", "deposit", "withdrawal"]), f"s{i % 30}", None, f"10.0.0.{i % 40}", rnd.choice(["N", "S"]), rnd.choice(["ios", "web", None]),
+                     rnd.choice([c, f"client_{rnd.randrange(30)}", "elsewhere"]), None))
+    rows.append(("lone", "client_z", datetime(2023, 1, 1), 1.0, "only here", "deposit", "alone", None, "1.1.1.1", None, "own", None, None))
+    tx = spark.createDataFrame(rows, "transaction_id string, client_id string, datetime timestamp, amount double, merchant string, transaction_type string, "
+                               "session_id string, ip_network string, ip_address string, region string, device_type string, recipient_id string, recipient_id_hash string")
+    plain = {(r.src, r.dst): r for r in pj.merged_graph(tx).collect()}
+    g = classes.class_graph(tx, large=5)
+    assert {(r.src, r.dst): round(r.weight, 9) for r in classes.expanded(g).collect()} == {k: round(r.weight, 9) for k, r in plain.items()}
+    made = classes.compressed_rows(g).collect()
+    assert sum(r.n_pairs for r in made) == len(plain) and any(r.level == "class" for r in made)
+    assert all((plain[r.src, r.dst].layer, plain[r.src, r.dst].p2p_count) == (r.layer, r.p2p_count) for r in made if r.level == "pair")
+    nodes = {r.id for r in g.members.collect()}
+    degree = {r.id: (r.degree, round(r.w_degree, 6)) for r in classes.merged_degrees(g).collect()}
+    for v in nodes:
+        own = [r.weight for k, r in plain.items() if v in k]
+        assert degree[v] == (len(own), round(sum(own), 6))
+    edges = spark.createDataFrame([(a, b, r.weight) for (a, b), r in plain.items()], "src string, dst string, weight double")
+    vertices = spark.createDataFrame([(v,) for v in nodes], "id string")
+    want = as_dict(pagerank_weighted(edges, vertices=vertices))
+    got = as_dict(classes.merged_pagerank(g))
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+    assert as_dict(classes.merged_components(g)) == as_dict(components.connected_components(edges, vertices=vertices))
+    row = classes.merged_density(g).first()
+    assert (row.nodes, row.edges) == (len(nodes), len(plain))
+    community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(sorted(nodes))], "id string, community_id string")
+    assert abs(classes.merged_modularity(g, community).first()[0] - modularity.modularity(edges, community).first()[0]) < 1e-9
+    counts = classes.class_graph(tx, large=5, min_weight=0.0, transfers=False)
+    shared = {(r.src, r.dst): r.weight for r in pj.project(pj.incidence(tx)).collect()}
+    assert {(r.src, r.dst): r.weight for r in classes.expanded(counts).collect()} == pytest.approx(shared)
+    assert classes.compressed_rows(classes.class_graph(tx.limit(0))).count() == 0
