@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..graph import classes
-from ..graph.classes import LARGE
+from ..graph.classes import LARGE, LARGE_PART
 from ..graph.subgraph import top_nodes
 from ..operators import edges as ed
 from ..operators import projection as pj
@@ -320,12 +320,13 @@ NEEDS["projected"] = ["incidence", "top"]
 VIEWS["all_projected"] = """select a.client_id as src, b.client_id as dst, count(*) as shared, ln(1 + count(*)) as weight from incidence a
   join incidence b on a.hub = b.hub and a.client_id < b.client_id group by 1, 2"""
 NEEDS["all_projected"] = ["incidence"]
+_LARGE_SQL = f"greatest({LARGE}, (select count(distinct client_id) // {LARGE_PART} from incidence))"
 # Classes by the set of hubs above the bound, and the pairs that are listed: those in smaller hubs, and transfers.
 VIEWS["classes"] = f"""select client_id, min(client_id) over (partition by s) as cls from
-(select client_id, list_sort(list(hub)) as s from incidence where hub in (select hub from hub_count where n_clients > {LARGE}) group by 1)"""
+(select client_id, list_sort(list(hub)) as s from incidence where hub in (select hub from hub_count where n_clients > {_LARGE_SQL}) group by 1)"""
 NEEDS["classes"] = ["incidence", "hub_count"]
 VIEWS["small_pairs"] = f"""select distinct a.client_id as src, b.client_id as dst from incidence a join incidence b on a.hub = b.hub and a.client_id < b.client_id
-where a.hub in (select hub from hub_count where n_clients <= {LARGE})"""
+where a.hub in (select hub from hub_count where n_clients <= {_LARGE_SQL})"""
 NEEDS["small_pairs"] = ["incidence", "hub_count"]
 VIEWS["collapsed"] = """select client_id as src, recipient_id as dst, arg_max(amount, row(datetime, transaction_id)) as amount,
 max(datetime) as datetime from tx_orders where transaction_type = 'p2p' and recipient_id is not null group by 1, 2"""

@@ -23,7 +23,7 @@ from ..operators.projection import incidence, transfers_collapsed
 from ..session import Rounds, cut
 from .components import connected_components
 
-LARGE = 100  # clients above which a hub is part of the classes instead of listing its pairs
+LARGE, LARGE_PART = 100, 10  # a hub of more clients than this, and than a tenth of all, is part of the classes
 
 
 @dataclass
@@ -52,14 +52,16 @@ def _classes(members: DataFrame, large: DataFrame) -> tuple[DataFrame, DataFrame
     return named, own.join(heads.withColumnRenamed("cls", "client_id"), "client_id").select(F.col("client_id").alias("cls"), "hub")
 
 
-def class_graph(tx: DataFrame, large: int = LARGE, min_weight: float = 1.0, transfers: bool = True) -> ClassGraph:
+def class_graph(tx: DataFrame, large: int | None = None, min_weight: float = 1.0, transfers: bool = True) -> ClassGraph:
     """Projection over all hubs (weight log1p of the hubs shared) plus transfers (log1p of the amounts).
 
-    ``min_weight`` is the cut of weak edges that the measures apply; the tables keep all. Hubs of up to ``large`` clients
-    list their pairs. Pairs of classes are listed per large hub, so ``large`` should leave few
-    classes compared with clients.
+    ``min_weight`` is the cut of weak edges that the measures apply; the tables keep all. Hubs of up to
+    ``large`` clients list their pairs. By default that is a tenth of all clients, 100 at least:
+    each client is in few larger hubs, so there are few classes. Pairs of classes are listed per large hub.
     """
     links = cut(incidence(tx).select("kind", "hub", "client_id"), "incidence")
+    if large is None:
+        large = max(LARGE, links.agg(F.count_distinct("client_id")).first()[0] // LARGE_PART)
     sizes = cut(hub_sizes(links), "hub-sizes")
     classes, hubs = _classes(links, sizes.filter(F.col("n_clients") > large))
     hubs = cut(hubs, "class-hubs")
