@@ -306,6 +306,42 @@ def q_merged_modularity(spark, sf):
     return rounded(classes.merged_modularity(_merged(spark, sf), region), 6, "modularity")
 
 
+_SETTLED = 8
+
+
+@query("merged_labels", f"""{_MERGED}, {lpa_sql('all_merged', _SETTLED, 'ml', own=True)}
+select id, coalesce(label, id) as community_id from nodes left join ml{_SETTLED} using (id)""")
+def q_merged_labels(spark, sf):
+    """Settles before the last of the rounds, else the operator raises."""
+    return classes.merged_labels(_merged(spark, sf), _SETTLED, self_vote=True)
+
+
+def _far_chain(levels: int) -> str:
+    """Pairs (s < t) of the largest component that are more than 1, 2, ... hops apart."""
+    parts = [
+        "big as materialized (select id from m8 where label = (select label from m8 group by 1 order by count(*) desc, label limit 1))",
+        "near as materialized (select src, dst from ends where src <> dst)",
+        "far1 as materialized (select a.id as s, b.id as t from big a join big b on a.id < b.id where not exists (select 1 from near where src = a.id and dst = b.id))",
+    ]
+    for k in range(2, levels + 1):
+        last = f"(select s, t from far{k - 1} union all select t, s from far{k - 1})"
+        parts.append(
+            f"far{k} as materialized (select s, t from far{k - 1} except select f.s, f.t from far{k - 1} f join near on src = f.s "
+            f"left join {last} g on g.s = dst and g.t = f.t where g.s is null)"
+        )
+    return ", ".join(parts)
+
+
+_HOPS = 8
+
+
+@query("merged_diameter", f"""{_MERGED}, {_LABEL_ROUNDS}, {_far_chain(_HOPS)}
+select cast({' + '.join(f'(case when exists (select 1 from far{k}) then 1 else 0 end)' for k in range(1, _HOPS + 1))} + 1 as int) as diameter,
+  true as exact, (select count(*) from big) as nodes""")
+def q_merged_diameter(spark, sf):
+    return classes.merged_diameter(_merged(spark, sf)).select("diameter", "exact", "nodes")
+
+
 _LINK_LPA = f"{views('links')}, {lpa_sql('links', 10)}"
 
 

@@ -14,14 +14,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ordered_pair
 from ..operators.edges import expand_pairs, hub_sizes
 from ..operators.projection import incidence, transfers_collapsed
 from ..session import Rounds, cut
-from .components import connected_components
+from .components import connected_components, largest_component
+from .paths import Levels, settled_diameter
 
 LARGE, LARGE_PART = 100, 10  # a hub of more clients than this, and than a tenth of all, is part of the classes
 
@@ -242,3 +243,99 @@ def merged_modularity(g: ClassGraph, membership: DataFrame) -> DataFrame:
     return degree.join(inside, "community_id", "left").agg(
         F.sum(F.coalesce("twice", F.lit(0.0)) / total - F.pow(F.col("deg") / total, 2)).alias("modularity")
     )
+
+
+def _two_best(votes: DataFrame) -> DataFrame:
+    """(cls, l1, v1, l2, v2): the two labels with most votes of each class, ties to the smaller label."""
+    place = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("votes"), "label"))
+    top = votes.withColumn("place", place).filter("place <= 2")
+    at = lambda c, k: F.max(F.when(F.col("place") == k, F.col(c)))
+    return top.groupBy("cls").agg(at("label", 1).alias("l1"), at("votes", 1).alias("v1"), at("label", 2).alias("l2"), at("votes", 2).alias("v2"))
+
+
+def _first_votes(sums: _Sums) -> DataFrame:
+    """(cls, label, votes) of the first round, in which every vertex has a label of its own.
+
+    All labels of adjacent classes have one vote, so only the two smallest can win. They are among
+    the two smallest of each adjacent class.
+    """
+    of_class = sums.members.filter("cls is not null").groupBy(F.col("cls").alias("b")).agg(F.min(F.when(F.col("id") != F.col("cls"), F.col("id"))).alias("next"))
+    low = sums.pairs.join(of_class, "b").select(F.col("a").alias("cls"), F.explode(F.array("b", "next")).alias("label")).filter("label is not null")
+    place = F.row_number().over(Window.partitionBy("cls").orderBy("label"))
+    return low.withColumn("place", place).filter("place <= 2").select("cls", "label", F.lit(1).cast("long").alias("votes"))
+
+
+def merged_labels(g: ClassGraph, max_rounds: int = 100, self_vote: bool = False) -> DataFrame:
+    """(id, community_id): label propagation by kept edges until nothing changes; raises if it doesn't settle.
+
+    The same as plain simultaneous rounds: ties go to the smallest label, a loop counts twice, vertices
+    without kept edges keep their own label, and ``self_vote`` adds one's own. A class adds up its members'
+    labels once for all who hear it. For a vertex only few labels can win: the two best of its class
+    (its own vote is taken off) and those that corrections or its own vote add to.
+    """
+    sums = _Sums(g, by_weight=False)
+    spark = g.members.sparkSession
+    extra = cut(
+        sums.corrections.select("src", "dst", F.when(F.col("src") == F.col("dst"), 2).otherwise(1).cast("long").alias("n"))
+        .unionByName(sums.members.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1).cast("long").alias("n")).filter(F.lit(self_vote)))
+        .groupBy("src", "dst").agg(F.sum("n").alias("n")),
+        "extra-votes",
+    )
+    written, heard = Rounds(spark, "merged-labels"), Rounds(spark, "class-votes")
+    state = sums.members.select("id", "cls", (F.col("own") > 0).alias("own"), F.col("id").alias("label"))
+    rank = lambda votes, label: F.when(votes > 0, F.struct((-votes).alias("less"), label.alias("label")))
+    for i in range(max_rounds):
+        if i:
+            held = state.filter("cls is not null").groupBy(F.col("cls").alias("b"), "label").agg(F.count("*").alias("n"))
+            votes = sums.pairs.join(held, "b").groupBy(F.col("a").alias("cls"), "label").agg(F.sum("n").alias("votes"))
+        else:
+            votes = _first_votes(sums)
+        votes = heard.cut(votes)
+        mine = state.join(_two_best(votes), "cls", "left")
+        less = F.when(F.col("own") & (F.col("l1") == F.col("label")), 1).otherwise(0)
+        by_class = F.least(rank(F.col("v1") - less, F.col("l1")), F.when(less == 1, rank(F.col("v2"), F.col("l2"))))
+        more = extra.join(state.select(F.col("id").alias("src"), "label"), "src").groupBy(F.col("dst").alias("id"), "label").agg(F.sum("n").alias("n"))
+        more = more.join(state.select("id", "cls", "own", F.col("label").alias("old")), "id").join(votes, ["cls", "label"], "left")
+        total = F.col("n") + F.coalesce(F.col("votes") - F.when(F.col("own") & (F.col("label") == F.col("old")), 1).otherwise(0), F.lit(0))
+        by_extra = more.groupBy("id").agg(F.min(rank(total, F.col("label"))).alias("by_extra"))
+        best = F.least(by_class, F.col("by_extra"))
+        new = mine.join(by_extra, "id", "left").withColumn("new", F.coalesce(best["label"], F.col("label")))
+        state = written.cut(new.select("id", "cls", "own", F.col("new").alias("label"), (F.col("new") != F.col("label")).alias("changed")))
+        if state.filter("changed").isEmpty():
+            return state.select("id", F.col("label").alias("community_id"))
+        state = state.drop("changed")
+    raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+
+
+def _class_hops(sums: _Sums, sources: DataFrame) -> DataFrame:
+    """(source, id, dist) of everything the sources (id) reach by kept edges, level by level.
+
+    A source sends from each class and into each class once, however many of its clients are
+    there; corrections are followed one by one. A neighbour of the current level is on it, on the
+    one before, or new, so vertices are compared with two levels only.
+    """
+    spark = sources.sparkSession
+    levels, sent, entered = (Levels(spark, name, "dist") for name in ("hops", "sent", "entered"))
+    of_class = sums.members.select("id", "cls").filter("cls is not null")
+    front, before, level = levels.write(sources.select(F.col("id").alias("source"), "id"), 0), None, 0
+    while not front.isEmpty():
+        out = front.join(of_class, "id").select("source", F.col("cls").alias("a")).distinct()
+        out = sent.write(out if not level else out.join(sent.all(), ["source", "a"], "left_anti"), level)
+        into = out.join(sums.pairs.select("a", "b"), "a").select("source", "b").distinct()
+        into = entered.write(into if not level else into.join(entered.all(), ["source", "b"], "left_anti"), level)
+        near = into.join(of_class, into["b"] == of_class["cls"]).select("source", "id").unionByName(
+            front.join(sums.corrections, front["id"] == F.col("src")).select("source", F.col("dst").alias("id"))
+        ).distinct()
+        known = front if before is None else front.unionByName(before)
+        level += 1
+        before, front = front, levels.write(near.join(known, ["source", "id"], "left_anti"), level)
+    return levels.all()
+
+
+def merged_diameter(g: ClassGraph) -> DataFrame:
+    """One row (diameter, exact, sources, nodes): the longest shortest path, in hops, of the largest component (ties: the first name)."""
+    sums = _Sums(g, by_weight=False)
+    inside = cut(largest_component(merged_components(g)).select("id"), "largest")
+    degree = sums(g.members.select("id", F.lit(1.0).alias("x")), "x").join(inside, "id")
+    found = settled_diameter(degree.select("id", F.col("total").cast("long").alias("degree")), lambda s: _class_hops(sums, s))
+    return found.withColumn("nodes", inside.agg(F.count("*")).scalar())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 # Fixed value: label of the bucket that gathers everything beyond the largest groups.
 OTHER = "Другие"
 
@@ -66,12 +68,27 @@ def quantiles(df: DataFrame, group: str, col: str, probs: dict[str, float], deci
     partition has at most 2**20 rows (for amounts up to 10**10), whatever the size of the
     group. Result: ``group`` and one column per entry of ``probs``.
     """
-    unit = F.lit(10**decimals)
-    base = (
-        df.filter(F.col(group).isNotNull() & F.col(col).isNotNull())
-        .groupBy(F.col(group), F.round(F.col(col) * unit).cast("long").alias("v"))
-        .agg(F.count("*").alias("n"))
+    return _quantiles(value_table(df.filter(F.col(col).isNotNull()), group, col, decimals), group, probs, decimals)
+
+
+def value_table(df: DataFrame, group: str, col: str, decimals: int = 2) -> DataFrame:
+    """(group, v, n, total, low, high) per group and value in units of ``10**-decimals``; rows without a group are left out.
+
+    Written once: everything that follows reads this table instead of the rows. Missing values are one
+    row per group with a null ``v`` and n = 0.
+    """
+    value = F.col(col)
+    return cut(
+        df.filter(F.col(group).isNotNull())
+        .groupBy(F.col(group), F.round(value * 10**decimals).cast("long").alias("v"))
+        .agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high")),
+        "values",
     )
+
+
+def _quantiles(base: DataFrame, group: str, probs: dict[str, float], decimals: int) -> DataFrame:
+    unit = F.lit(10**decimals)
+    base = base.filter("v is not null").select(group, "v", "n")
     totals = base.groupBy(group).agg(F.sum("n").alias("total"))
     position = F.create_map(*[F.lit(x) for k, p in probs.items() for x in (k, float(p))])
     wanted = totals.select(
@@ -111,12 +128,11 @@ def quantiles(df: DataFrame, group: str, col: str, probs: dict[str, float], deci
 
 def group_statistics(df: DataFrame, group: str, col: str) -> DataFrame:
     """mean, median, min, max and count per group; rows without a group are left out."""
-    kept = df.filter(F.col(group).isNotNull())
-    value = F.col(col)
-    plain = kept.groupBy(group).agg(
-        F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), F.count(value).alias("count")
+    base = value_table(df, group, col)
+    plain = base.groupBy(group).agg(
+        F.try_divide(F.sum("total"), F.sum("n")).alias("mean"), F.min("low").alias("min"), F.max("high").alias("max"), F.sum("n").alias("count")
     )
-    return plain.join(quantiles(kept, group, col, {"median": 0.5}), group, "left")
+    return plain.join(_quantiles(base, group, {"median": 0.5}, 2), group, "left")
 
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:

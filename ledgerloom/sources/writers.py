@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import node_type
-from ..session import cut
+from ..session import MAX_PARTITIONS, cut
 from .readers import EDGE_KEYS, EDGE_TYPES, NODE_KEYS, NODE_TYPES
 
 
@@ -96,27 +96,37 @@ def truncate_and_load(df: DataFrame, name: str, root: str) -> str:
     )
 
 
-SLICE_TASKS = 16
+ROWS_PER_FILE = 2_000_000
 
 
-def replace_slice(df: DataFrame, path: str, column: str = "date", partition: str | None = None) -> None:
+def replace_slice(
+    df: DataFrame, path: str, column: str = "date", partition: str | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Replace the rows of every value of ``column`` that occurs in ``df``; others stay.
 
     Only the partitions that hold such rows are rewritten. ``partition`` names a coarser
     partition column (a month, say) when single slices are too small for folders of their own.
+    A partition gets as many tasks as its measured rows need, and no file has more than ``rows_per_file``.
     """
     if partition is not None and _exists(df.sparkSession, path):
         old = df.sparkSession.read.schema(df.schema).parquet(path)
         touched = old.join(df.select(partition).distinct(), partition, "left_semi")
         kept = touched.join(df.select(column).distinct(), column, "left_anti")
-        # Written first: the partitions read here are the ones about to be overwritten.
-        df = cut(kept.select(*df.columns).unionByName(df), "slice")
+        df = kept.select(*df.columns).unionByName(df)
     partition = partition or column
-    # A slice may hold a third of all rows: it is dealt over tasks by a hash of the whole row as well.
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SLICE_TASKS))
-    df.repartition(partition, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
+    # Written first: it is measured, and the partitions read above are the ones about to be overwritten.
+    df = cut(df, "slice")
+    sizes = cut(df.groupBy(F.col(partition).alias("_slice")).agg(F.count("*").alias("_rows")), "slice-sizes")
+    tasks = F.ceil(F.col("_rows") / rows_per_file)
+    total = sizes.agg(F.sum(tasks)).first()[0] or 1
+    # Partitions of more than one file: at most one in ``rows_per_file`` rows.
+    large = sizes.filter(F.col("_rows") > rows_per_file).select("_slice", tasks.cast("int").alias("_tasks"))
+    dealt = df.join(F.broadcast(large), F.col(partition).eqNullSafe(F.col("_slice")), "left")
+    # Dealt by a hash of the whole row, so that a slice with a third of all rows is spread.
+    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce("_tasks", F.lit(1)))
+    dealt.repartition(min(total, MAX_PARTITIONS), partition, salt).select(*df.columns).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("maxRecordsPerFile", rows_per_file).partitionBy(partition).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -256,6 +256,7 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
 
     from ledgerloom.graph import classes
     from ledgerloom.operators import projection as pj
+    from ledgerloom.operators.edges import induced
 
     rnd = random.Random(5)
     rows = []
@@ -288,6 +289,15 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
     assert (row.nodes, row.edges) == (len(nodes), len(plain))
     community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(sorted(nodes))], "id string, community_id string")
     assert abs(classes.merged_modularity(g, community).first()[0] - modularity.modularity(edges, community).first()[0]) < 1e-9
+    want = as_dict(label_propagation(edges, 30, until_stable=True, self_vote=True, vertices=vertices))
+    for large in (5, 1000):
+        assert as_dict(classes.merged_labels(classes.class_graph(tx, large=large), 30, self_vote=True)) == want
+    assert not classes.merged_diameter(classes.class_graph(tx.limit(0))).first().diameter
+    for large, cut_off in ((5, 1.0), (9, 1.5)):
+        g = classes.class_graph(tx, large=large, min_weight=cut_off)
+        listed = classes.expanded(g).filter("src <> dst")
+        core = components.largest_component(components.connected_components(listed, vertices=vertices))
+        assert classes.merged_diameter(g).first().diameter == paths.diameter(induced(listed, core)).first().diameter
     counts = classes.class_graph(tx, large=5, min_weight=0.0, transfers=False)
     shared = {(r.src, r.dst): r.weight for r in pj.project(pj.incidence(tx)).collect()}
     assert {(r.src, r.dst): r.weight for r in classes.expanded(counts).collect()} == pytest.approx(shared)

@@ -78,6 +78,23 @@ def test_rates_slice_within_a_month(spark, tmp_path):
     assert [got[(d, "USD")] for d in ("2024-01-01", "2024-01-02", "2024-02-01")] == [180.0, 90.0, 90.0]
 
 
+def test_slice_files_are_bounded_by_measured_rows(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = tmp_path / "slices"
+    day = F.when(F.col("id") < 1000, "big").when(F.col("id") < 2995, F.concat(F.lit("d"), (F.col("id") % 20).cast("string")))
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("x"), day.alias("date"), F.lit("m").alias("_rows"))
+    writers.replace_slice(df, str(path), rows_per_file=100)
+    writers.replace_slice(df.filter("date = 'big'"), str(path), rows_per_file=100)
+    got = spark.read.parquet(str(path))
+    assert got.filter("date is null").count() == 5 and rows(got.select(*df.columns)) == rows(df)
+    sizes = [pq.read_metadata(f).num_rows for f in path.glob("*/*.parquet")]
+    assert sum(sizes) == 3000 and max(sizes) <= 100
+    writers.replace_slice(spark.range(1000).select(F.col("id").alias("x"), F.lit("e").alias("date")), str(tmp_path / "e"), rows_per_file=100)
+    files = list((tmp_path / "e").glob("*/*.parquet"))
+    assert 5 <= len(files) <= 20  # dealt by measured rows
+
+
 def test_publish_swaps_and_a_failed_build_changes_nothing(spark, tmp_path):
     name, root = f"t_{uuid.uuid4().hex}", str(tmp_path)
     writers.publish(spark.range(3), name, root)

@@ -241,5 +241,7 @@ def test_scaling_guards_the_constant_case(spark):
 
 def test_statistics_skip_missing_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 4.0), (None, 9.0)], "g string, v double")
+    empty = agg.group_statistics(spark.createDataFrame([("b", None), ("b", None)], "g string, v double"), "g", "v").first()
+    assert (empty.g, empty["mean"], empty["median"], empty["count"]) == ("b", None, None, 0)
     rows = agg.group_statistics(df, "g", "v").collect()
     assert [(r.g, r["mean"], r["median"], r["min"], r["max"], r["count"]) for r in rows] == [("a", 2.5, 2.5, 1.0, 4.0, 2)]
