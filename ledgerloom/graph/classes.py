@@ -22,7 +22,7 @@ from ..operators.edges import expand_pairs, hub_sizes
 from ..operators.projection import incidence, transfers_collapsed
 from ..session import Rounds, cut
 from .components import connected_components, largest_component
-from .paths import Levels, settled_diameter
+from .paths import FIRST_SOURCES, ROWS_AT_ONCE, Levels, settled_diameter
 
 LARGE, LARGE_PART = 100, 10  # a hub of more clients than this, and than a tenth of all, is part of the classes
 
@@ -333,9 +333,16 @@ def _class_hops(sums: _Sums, sources: DataFrame) -> DataFrame:
 
 
 def merged_diameter(g: ClassGraph) -> DataFrame:
-    """One row (diameter, exact, sources, nodes): the longest shortest path, in hops, of the largest component (ties: the first name)."""
+    """One row (diameter, exact, sources, nodes): the longest shortest path, in hops, of the largest component (ties: the first name).
+
+    Clients of a class whom no correction links change places freely, so one of them searches for all.
+    """
     sums = _Sums(g, by_weight=False)
     inside = cut(largest_component(merged_components(g)).select("id"), "largest")
-    degree = sums(g.members.select("id", F.lit(1.0).alias("x")), "x").join(inside, "id")
-    found = settled_diameter(degree.select("id", F.col("total").cast("long").alias("degree")), lambda s: _class_hops(sums, s))
-    return found.withColumn("nodes", inside.agg(F.count("*")).scalar())
+    linked = sums.corrections.filter("src <> dst").select(F.col("src").alias("id")).distinct()
+    alike = g.members.filter("cls is not null").join(linked, "id", "left_anti").groupBy("cls").agg(F.min("id").alias("id")).select("id")
+    searching = inside.join(linked.unionByName(alike), "id", "left_semi")
+    degree = sums(g.members.select("id", F.lit(1.0).alias("x")), "x").join(searching, "id")
+    size = inside.count()
+    found = settled_diameter(degree.select("id", F.col("total").cast("long").alias("degree")), lambda s: _class_hops(sums, s), size, max(FIRST_SOURCES, ROWS_AT_ONCE // max(1, size)))
+    return found.withColumn("nodes", F.lit(size).cast("long"))
