@@ -41,11 +41,51 @@ TEMPLATES = {
     "Proprietary": "All rights reserved. Reproduction prohibited without written permission.",
 }
 
+# Lines of standard headers and license files, as they are usually wrapped, and whole
+# paragraphs on one line. What follows # tells the forms of one license apart. The opening line that all
+# BSD licenses share counts as the three-clause one.
+TEMPLATES |= {
+    "AGPL-3.0#terms": "it under the terms of the GNU Affero General Public License as published by",
+    "Apache-2.0#basis": 'distributed under the License is distributed on an "AS IS" BASIS,',
+    "Apache-2.0#compliance": "you may not use this file except in compliance with the License.",
+    "Apache-2.0#header": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "Apache-2.0#paragraph": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+                            "the License. You may obtain a copy of the License at",
+    "BSD-3-Clause#endorse": "Neither the name of the copyright holder nor the names of its",
+    "BSD-3-Clause#paragraph": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                              "following conditions are met:",
+    "BSD-3-Clause#redistribution": "Redistribution and use in source and binary forms, with or without",
+    "GPL-2.0#version": "the Free Software Foundation; either version 2 of the License, or",
+    "GPL-3.0#paragraph": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                         "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-3.0#terms": "it under the terms of the GNU General Public License as published by",
+    "ISC#paragraph": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+                     "provided that the above copyright notice and this permission notice appear in all copies.",
+    "ISC#permission": "Permission to use, copy, modify, and/or distribute this software for any",
+    "LGPL-3.0#terms": "it under the terms of the GNU Lesser General Public License as published by",
+    "MIT#deal": 'of this software and associated documentation files (the "Software"), to deal',
+    "MIT#grant": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "MIT#paragraph": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+                     'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+                     "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+                     "Software is furnished to do so, subject to the following conditions:",
+    "MIT#title": "The MIT License (MIT)",
+    "MPL-2.0#header": "This Source Code Form is subject to the terms of the Mozilla Public",
+    "Unlicense#header": "This is free and unencumbered software released into the public domain.",
+}
+SPDX = ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
+TEMPLATES |= {f"{name}#spdx": f"SPDX-License-Identifier: {name}" for name in SPDX}
+
 
 # Words that any English line may have; they become cues last.
 COMMON = frozenset("a all and any are as at be by for from has have in is it may no not of on or other so that the this to was with work".split())
 
 
+def license_of(template: str) -> str:
+    """The license that a template stands for: its name up to #."""
+    return template.split("#")[0]
+
+
 def template_words(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
@@ -86,7 +126,7 @@ def line_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, code, line, license, cosine, share): the best template of each line that reaches the cosine.
 
-    ``line`` counts from 0, ``share`` is the line's part of the text's characters. Ties go to the first name.
+    ``line`` counts from 0, ``share`` is the line's part of the text's characters. Ties go to the first template.
     """
     templates = TEMPLATES if templates is None else templates
     spark = docs.sparkSession
@@ -118,7 +158,7 @@ def line_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
     scores = [
         F.struct(
             F.round(total("vector", lambda p, m=_map(v): p["value"] * F.coalesce(F.element_at(m, p["word"]), F.lit(0.0))) / F.col("norm"), 6).alias("cosine"),
-            F.lit(-place).alias("order"), F.lit(name).alias("license"),
+            F.lit(-place).alias("order"), F.lit(license_of(name)).alias("license"),
         )
         for place, (name, v) in enumerate(found.items())
     ]
@@ -191,7 +231,7 @@ def _sql() -> str:
     terms = ", ".join(f"('{w}', {idf[w]!r}::double, '{n}', {x!r}::double)" for n, v in vectors(TEMPLATES).items() for w, x in v.items())
     fold = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
-with t(word, idf, license, x) as (values {terms}),
+with t(word, idf, form, x) as (values {terms}),
 lines as materialized (select doc_id, length(text) as chars, p, string_split(text, chr(10))[p] as line
           from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as p from documents)),
 w as materialized (select doc_id, p, word, count(*) as times from
@@ -200,9 +240,10 @@ hit as (select distinct doc_id, p from w where word in (select word from t)),
 v as materialized (select w.doc_id, w.p, w.word, times * coalesce(idf, {unknown!r}) as value
        from w join hit using (doc_id, p) left join (select distinct word, idf from t) i on w.word = i.word),
 n as (select doc_id, p, sqrt(sum(value * value)) as norm from v group by doc_id, p),
-c as (select v.doc_id, v.p, license, sum(value * x) as dot from v join t on v.word = t.word group by v.doc_id, v.p, license),
-m as (select doc_id, p, license, round(dot / norm, 6) as cosine from c join n using (doc_id, p) where round(dot / norm, 6) >= {MIN_COSINE}),
-best as (select * from m qualify row_number() over (partition by doc_id, p order by cosine desc, license) = 1),
+c as (select v.doc_id, v.p, form, sum(value * x) as dot from v join t on v.word = t.word group by v.doc_id, v.p, form),
+m as (select doc_id, p, form, round(dot / norm, 6) as cosine from c join n using (doc_id, p) where round(dot / norm, 6) >= {MIN_COSINE}),
+best as (select doc_id, p, cosine, split_part(form, '#', 1) as license from m
+         qualify row_number() over (partition by doc_id, p order by cosine desc, form) = 1),
 s as (select doc_id, max(length(line)::double / chars) as share from best join lines using (doc_id, p) group by doc_id),
 own as (select doc_id, license as own_license, cosine as own_cosine, share from best join s using (doc_id)
         qualify row_number() over (partition by doc_id order by cosine desc, license) = 1),

@@ -28,7 +28,7 @@ def test_lines_against_plain_cosine(spark):
         scores = {n: round(_cosine(t, n), 6) for n in lic.TEMPLATES}
         best = min(scores, key=lambda n: (-scores[n], n))
         if scores[best] >= lic.MIN_COSINE:
-            assert got[i][0] == best and abs(got[i][1] - scores[best]) < 2e-6
+            assert got[i][0] == lic.license_of(best) and abs(got[i][1] - scores[best]) < 2e-6
         else:
             assert i not in got
 
@@ -51,3 +51,23 @@ def test_a_line_without_a_cue_cannot_match():
     known = set(lic.cues(lic.TEMPLATES))
     for name, vector in lic.vectors(lic.TEMPLATES).items():
         assert math.sqrt(sum(x * x for w, x in vector.items() if w not in known)) < lic.MIN_COSINE, name
+
+
+NOTICES = {
+    "Apache-2.0": ['# Licensed under the Apache License, Version 2.0 (the "License");', "// SPDX-License-Identifier: Apache-2.0",
+                   "   you may not use this file except in compliance with the License."],
+    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification,", "SPDX-License-Identifier: BSD-3-Clause",
+                     "3. Neither the name of the copyright holder nor the names of its contributors"],
+    "GPL-3.0": [" * it under the terms of the GNU General Public License as published by", "SPDX-License-Identifier: GPL-3.0-or-later"],
+    "LGPL-3.0": [" * it under the terms of the GNU Lesser General Public License as published by"],
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT License", "/* SPDX-License-Identifier: MIT */"],
+}
+OTHERS = ["SPDX-License-Identifier: Foo-7", "the license of the car was lost by the person", "use the copy of this file as is", "source and binary are words"]
+
+
+def test_real_notices_are_found(spark):
+    lines = [(n, t) for n, of in NOTICES.items() for t in of] + [(None, t) for t in OTHERS]
+    body = "\n".join(f"some long line about {k} nothing" for k in range(300))
+    rows = [(i, None, f"/*\n{t}\n*/\n" + body * (i % 2), "x", 1) for i, (_, t) in enumerate(lines)]
+    got = {r.doc_id: r.license for r in lic.line_licenses(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {i: got.get(i) for i in range(len(lines))} == {i: n for i, (n, _) in enumerate(lines)}
