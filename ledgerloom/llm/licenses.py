@@ -138,22 +138,23 @@ def line_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     if not found:
         return spark.createDataFrame([], empty.format(rows.dtypes[0][1]))
-    wanted = F.array(*[F.lit(w) for w in cues(templates, min_cosine)])
+    wanted, in_templates = cues(templates, min_cosine), sorted(idf)  # looked up by hash; maps are searched from the start
     rows = rows.select("doc_id", row_code().alias("code"), F.length("text").alias("chars"), F.posexplode_outer(F.split("text", "\n", -1)).alias("line", "content"))
     rows = rows.filter("content != ''").withColumn("words", split_words(folded(F.col("content")), SEPARATORS))
-    rows = rows.filter(F.arrays_overlap("words", wanted)).select(
+    rows = rows.filter(F.exists("words", lambda w: w.isin(wanted))).select(
         "doc_id", "code", "line", (F.length("content") / F.col("chars")).alias("share"), F.sort_array("words").alias("words")
     )
     # Counts of equal words are distances between the ends of their runs in sorted order.
     is_end = lambda i: F.get("words", i + 1).isNull() | (F.get("words", i) != F.get("words", i + 1))
     rows = rows.withColumn("ends", F.filter(F.sequence(F.lit(0), F.size("words") - 1), is_end))
     known = _map(idf)
-    value = lambda e, j: (e - F.coalesce(F.get("ends", j - 1), F.lit(-1))) * F.coalesce(F.element_at(known, F.get("words", e)), F.lit(unknown))
+    weight = lambda w: F.when(w.isin(in_templates), F.element_at(known, w)).otherwise(F.lit(unknown))
+    value = lambda e, j: (e - F.coalesce(F.get("ends", j - 1), F.lit(-1))) * weight(F.get("words", e))
     rows = rows.withColumn("vector", F.transform("ends", lambda e, j: F.struct(F.get("words", e).alias("word"), value(e, j).alias("value"))))
     total = lambda v, part: F.aggregate(v, F.lit(0.0), lambda a, p: a + part(p))
     rows = rows.select(
         "doc_id", "code", "line", "share", F.sqrt(total("vector", lambda p: p["value"] * p["value"])).alias("norm"),
-        F.filter("vector", lambda p: F.element_at(known, p["word"]).isNotNull()).alias("vector"),
+        F.filter("vector", lambda p: p["word"].isin(in_templates)).alias("vector"),
     )
     scores = [
         F.struct(
