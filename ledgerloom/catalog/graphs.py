@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.text import node_type
+from ..graph import class_triangles as ct
 from ..graph import classes
 from ..graph import clustering as cl
 from ..graph import components as cc
@@ -302,8 +303,36 @@ t as (select sum(deg) as t from d)
 select round(sum(coalesce(twice, 0) / t - (deg / t) ** 2), 6) as modularity from d left join i using (community_id), t""")
 def q_merged_modularity(spark, sf):
     """How far the clients of a region keep to themselves. A client is in one region."""
-    region = tx_orders(spark, sf).filter("region is not null").groupBy(F.col("client_id").alias("id")).agg(F.min("region").alias("community_id"))
-    return rounded(classes.merged_modularity(_merged(spark, sf), region), 6, "modularity")
+    return rounded(classes.merged_modularity(_merged(spark, sf), _regions(spark, sf)), 6, "modularity")
+
+
+def _regions(spark, sf):
+    return tx_orders(spark, sf).filter("region is not null").groupBy(F.col("client_id").alias("id")).agg(F.min("region").alias("community_id"))
+
+
+@query("merged_meta_graph", f"""{_MERGED}, lab as materialized (select client_id as id, min(region) as c from tx_orders where region is not null group by 1)
+select a.c as src, b.c as dst, count(*) as edges, round(sum(weight), 4) as weight from ends join lab a on a.id = src join lab b on b.id = dst
+where a.c < b.c group by 1, 2""")
+def q_merged_meta(spark, sf):
+    """The graph between regions."""
+    return rounded(ct.merged_meta_graph(_merged(spark, sf), _regions(spark, sf)), 4, "weight")
+
+
+# Each vertex as a vector of its neighbours' strengths: an edge closes as many triangles as the product of its ends' vectors.
+_MERGED_CLUSTERING = f"""{_MERGED}, kept as materialized (select src, dst, cbrt(weight / (select max(weight) from ends where src <> dst)) as s from ends where src <> dst),
+vectors as materialized (select a.id, list(coalesce(s, 0) order by b.id) as v from nodes a cross join nodes b left join kept on src = a.id and dst = b.id group by 1),
+closed as (select src as id, sum(s * list_dot_product(a.v, b.v)) as s, count(*) as k from kept join vectors a on a.id = src join vectors b on b.id = dst group by 1),
+coef as materialized (select id, case when k > 1 then s / (k * (k - 1)) else 0 end as clustering from nodes left join closed using (id))"""
+
+
+@query("merged_clustering", f"{_MERGED_CLUSTERING} select id, round(clustering, 6) as clustering from coef")
+def q_merged_clustering(spark, sf):
+    return rounded(ct.merged_clustering(_merged(spark, sf)), 6, "clustering")
+
+
+@query("merged_avg_clustering", f"{_MERGED_CLUSTERING} select round(avg(clustering), 6) as avg_clustering from coef")
+def q_merged_avg_clustering(spark, sf):
+    return rounded(ct.merged_average_clustering(_merged(spark, sf)), 6, "avg_clustering")
 
 
 _SETTLED = 8

@@ -254,7 +254,7 @@ def test_subgraphs(spark):
 def test_merged_graph_in_classes_against_listed_pairs(spark):
     from datetime import datetime
 
-    from ledgerloom.graph import classes
+    from ledgerloom.graph import class_triangles, classes
     from ledgerloom.operators import projection as pj
     from ledgerloom.operators.edges import induced
 
@@ -289,6 +289,16 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
     assert (row.nodes, row.edges) == (len(nodes), len(plain))
     community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(sorted(nodes))], "id string, community_id string")
     assert abs(classes.merged_modularity(g, community).first()[0] - modularity.modularity(edges, community).first()[0]) < 1e-9
+    for large, cut_off in ((5, 1.0), (9, 1.5)):
+        other = classes.class_graph(tx, large=large, min_weight=cut_off)
+        listed = classes.expanded(other).cache()
+        want = {v: 0.0 for v in nodes} | as_dict(clustering.clustering(listed))
+        got = as_dict(class_triangles.merged_clustering(other))
+        assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+        want = {(r.src, r.dst): r.weight for r in modularity.meta_graph(listed, community).collect()}
+        assert {(r.src, r.dst): r.weight for r in class_triangles.merged_meta_graph(other, community).collect()} == pytest.approx(want)
+    empty = classes.class_graph(tx.limit(0))
+    assert class_triangles.merged_clustering(empty).count() == 0 and class_triangles.merged_meta_graph(empty, community).count() == 0
     want = as_dict(label_propagation(edges, 30, until_stable=True, self_vote=True, vertices=vertices))
     for large in (5, 1000):
         assert as_dict(classes.merged_labels(classes.class_graph(tx, large=large), 30, self_vote=True)) == want
