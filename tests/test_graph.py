@@ -251,13 +251,10 @@ def test_subgraphs(spark):
     assert subgraph.random_neighbourhood(edges, 2).count() >= 2
 
 
-def test_merged_graph_in_classes_against_listed_pairs(spark):
+def merged_transactions(spark):
+    """Few clients with shared hubs of every kind, transfers to oneself and to strangers, and one client alone."""
     from datetime import datetime
 
-    from ledgerloom.graph import class_triangles, classes
-    from ledgerloom.operators import projection as pj
-    from ledgerloom.operators.edges import induced
-
     rnd = random.Random(5)
     rows = []
     for i in range(90):
@@ -266,8 +263,16 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
                      rnd.choice(["p2p", "deposit", "withdrawal"]), f"s{i % 30}", None, f"10.0.0.{i % 40}", rnd.choice(["N", "S"]), rnd.choice(["ios", "web", None]),
                      rnd.choice([c, f"client_{rnd.randrange(30)}", "elsewhere"]), None))
     rows.append(("lone", "client_z", datetime(2023, 1, 1), 1.0, "only here", "deposit", "alone", None, "1.1.1.1", None, "own", None, None))
-    tx = spark.createDataFrame(rows, "transaction_id string, client_id string, datetime timestamp, amount double, merchant string, transaction_type string, "
+    return spark.createDataFrame(rows, "transaction_id string, client_id string, datetime timestamp, amount double, merchant string, transaction_type string, "
                                "session_id string, ip_network string, ip_address string, region string, device_type string, recipient_id string, recipient_id_hash string")
+
+
+def test_merged_graph_in_classes_against_listed_pairs(spark):
+    from ledgerloom.graph import classes
+    from ledgerloom.operators import projection as pj
+    from ledgerloom.operators.edges import induced
+
+    tx = merged_transactions(spark)
     plain = {(r.src, r.dst): r for r in pj.merged_graph(tx).collect()}
     g = classes.class_graph(tx, large=5)
     assert {(r.src, r.dst): round(r.weight, 9) for r in classes.expanded(g).collect()} == {k: round(r.weight, 9) for k, r in plain.items()}
@@ -289,16 +294,6 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
     assert (row.nodes, row.edges) == (len(nodes), len(plain))
     community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(sorted(nodes))], "id string, community_id string")
     assert abs(classes.merged_modularity(g, community).first()[0] - modularity.modularity(edges, community).first()[0]) < 1e-9
-    for large, cut_off in ((5, 1.0), (9, 1.5)):
-        other = classes.class_graph(tx, large=large, min_weight=cut_off)
-        listed = classes.expanded(other).cache()
-        want = {v: 0.0 for v in nodes} | as_dict(clustering.clustering(listed))
-        got = as_dict(class_triangles.merged_clustering(other))
-        assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
-        want = {(r.src, r.dst): r.weight for r in modularity.meta_graph(listed, community).collect()}
-        assert {(r.src, r.dst): r.weight for r in class_triangles.merged_meta_graph(other, community).collect()} == pytest.approx(want)
-    empty = classes.class_graph(tx.limit(0))
-    assert class_triangles.merged_clustering(empty).count() == 0 and class_triangles.merged_meta_graph(empty, community).count() == 0
     want = as_dict(label_propagation(edges, 30, until_stable=True, self_vote=True, vertices=vertices))
     for large in (5, 1000):
         assert as_dict(classes.merged_labels(classes.class_graph(tx, large=large), 30, self_vote=True)) == want
@@ -312,3 +307,22 @@ def test_merged_graph_in_classes_against_listed_pairs(spark):
     shared = {(r.src, r.dst): r.weight for r in pj.project(pj.incidence(tx)).collect()}
     assert {(r.src, r.dst): r.weight for r in classes.expanded(counts).collect()} == pytest.approx(shared)
     assert classes.compressed_rows(classes.class_graph(tx.limit(0))).count() == 0
+
+
+def test_merged_clustering_and_meta_graph_against_listed_pairs(spark):
+    from ledgerloom.graph import class_triangles, classes
+
+    tx = merged_transactions(spark)
+    # No classes at all beyond 1,000.
+    for large, cut_off in ((5, 1.0), (9, 1.5), (1000, 1.0)):
+        other = classes.class_graph(tx, large=large, min_weight=cut_off)
+        listed = classes.expanded(other).cache()
+        nodes = sorted(r.id for r in other.members.collect())
+        community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(nodes)], "id string, community_id string")
+        want = {v: 0.0 for v in nodes} | as_dict(clustering.clustering(listed))
+        got = as_dict(class_triangles.merged_clustering(other))
+        assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+        want = {(r.src, r.dst): r.weight for r in modularity.meta_graph(listed, community).collect()}
+        assert {(r.src, r.dst): r.weight for r in class_triangles.merged_meta_graph(other, community).collect()} == pytest.approx(want)
+    empty = classes.class_graph(tx.limit(0))
+    assert class_triangles.merged_clustering(empty).count() == 0 and class_triangles.merged_meta_graph(empty, community).count() == 0
