@@ -158,6 +158,25 @@ def test_last_writer_graph_holds_the_listed_pairs(spark):
     assert got == plain and len({k for k, _ in plain.values()}) > 2
 
 
+def test_the_last_writer_query_lists_all_pairs_of_large_sessions(spark, monkeypatch):
+    from ledgerloom.catalog import edges as catalog
+
+    crowd = [f"c{i:03d}" for i in range(130)]
+    rows = [dict(client_id=c, session_id="big", merchant=f"m{c}") for c in crowd]
+    rows += [dict(client_id="c000", transaction_type="p2p", recipient_id=r, merchant="x") for r in ("c001", "z")]
+    monkeypatch.setattr(catalog, "tx_orders", lambda s, sf: frame(s, rows))
+    got = {(r.src, r.dst): r.relationship for r in catalog.q_lastwriter(spark, None).collect()}
+    assert got == {p: "session_shared" for p in combinations(crowd, 2)} | {("c000", "z"): "p2p"}
+
+
+def test_pairs_in_cells_are_those_of_the_whole_hub(spark):
+    members = spark.createDataFrame([(h, f"c{i:02d}") for h, n in (("x", 23), ("y", 4), ("z", 1)) for i in range(n)], "hub string, client_id string")
+    for gap in (0, 1):
+        got = sorted((r.a.client_id, r.b.client_id) for r in ed._pairs_in_cells(members, F.struct("client_id"), gap, block=5).collect())
+        want = [(f"c{i:02d}", f"c{j:02d}") for n in (23, 4, 1) for i in range(n) for j in range(i + gap, n)]
+        assert got == sorted(want)
+
+
 def test_incidence_keeps_missing_region_of_cash_points(spark):
     rows = [dict(client_id="a", transaction_type="withdrawal"), dict(client_id="a", transaction_type="deposit")]
     hubs = {r.hub: r.weight for r in pj.incidence(frame(spark, rows)).collect()}
