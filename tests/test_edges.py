@@ -177,6 +177,25 @@ def test_pairs_in_cells_are_those_of_the_whole_hub(spark):
         assert got == sorted(want)
 
 
+@pytest.mark.parametrize("many", [256, 2])
+def test_pairs_of_common_hubs_are_listed_once(spark, monkeypatch, many):
+    import random
+
+    monkeypatch.setattr(ed, "MANY_HUBS", many)
+    rnd = random.Random(4)
+    rows = {(f"h{rnd.randrange(8)}", rnd.choice(["a", "b", "c", "d", "e", "f", "g", None])): rnd.randrange(1, 4) for _ in range(40)}
+    made = spark.createDataFrame([(h, c, n) for (h, c), n in rows.items()], "hub string, client_id string, n long")
+    want = {}
+    for (h, x), (k, y) in combinations(sorted(rows, key=lambda r: (r[1] or "", r[0])), 2):
+        if h == k:
+            want[x, y] = want.get((x, y), 0) + rows[h, x] * rows[k, y]
+    got = ed._counted_pairs(made).collect()
+    assert {(r.src, r.dst): r.multiplicity for r in got} == want and len(got) == len(want)
+    plain = ed.hub_pairs(made).collect()
+    assert sorted((r.src, r.dst) for r in plain) == sorted(p for p in want if p[0])
+    assert len(want) > 15
+
+
 def test_incidence_keeps_missing_region_of_cash_points(spark):
     rows = [dict(client_id="a", transaction_type="withdrawal"), dict(client_id="a", transaction_type="deposit")]
     hubs = {r.hub: r.weight for r in pj.incidence(frame(spark, rows)).collect()}
