@@ -326,3 +326,24 @@ def test_merged_clustering_and_meta_graph_against_listed_pairs(spark):
         assert {(r.src, r.dst): r.weight for r in class_triangles.merged_meta_graph(other, community).collect()} == pytest.approx(want)
     empty = classes.class_graph(tx.limit(0))
     assert class_triangles.merged_clustering(empty).count() == 0 and class_triangles.merged_meta_graph(empty, community).count() == 0
+
+
+def test_merged_graph_adds_up_pairs_where_they_are_listed(spark, monkeypatch):
+    """In many cells the same graph as in one, and no row per pair passes a shuffle."""
+    from ledgerloom.graph import classes
+    from ledgerloom.operators import projection as pj
+
+    tx = merged_transactions(spark)
+    plain = {(r.src, r.dst): (round(r.weight, 9), r.p2p_count) for r in pj.merged_graph(tx).collect()}
+    monkeypatch.setattr(classes, "PRODUCTS_PER_CELL", 40)
+    g = classes.class_graph(tx, large=5)
+    assert {(r.src, r.dst): round(r.weight, 9) for r in classes.expanded(g).collect()} == {k: w for k, (w, _) in plain.items()}
+    assert sum(r.n_pairs for r in classes.compressed_rows(g).collect()) == len(plain)
+    assert all(plain[r.src, r.dst][1] == r.p2p_count for r in classes.compressed_rows(g).filter("level = 'pair'").collect())
+    row = classes.merged_density(g).first()
+    assert (row.nodes, row.edges) == (len(as_dict(classes.merged_degrees(g).select("id", "degree"))), len(plain))
+    rows = spark.createDataFrame([(h, i) for h in range(6) for i in range(h, 40)], "hub long, id long")
+    met = classes._listed_pairs(rows.selectExpr("hub", "id", "cast(null as long) as cls", "true as listed"))
+    steps = [s.strip(" +-:") for s in met._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert steps[0].startswith(("Project", "FlatMapGroupsInArrow")) and not any(s.startswith(("Aggregate", "Join")) for s in steps[:2])
+    assert {(r.src, r.dst): r.extra for r in met.collect()} == {(i, j): min(i, 5) + 1 for i in range(40) for j in range(i + 1, 40)}
