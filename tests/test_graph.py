@@ -347,3 +347,26 @@ def test_merged_graph_adds_up_pairs_where_they_are_listed(spark, monkeypatch):
     steps = [s.strip(" +-:") for s in met._jdf.queryExecution().optimizedPlan().toString().splitlines()]
     assert steps[0].startswith(("Project", "FlatMapGroupsInArrow")) and not any(s.startswith(("Aggregate", "Join")) for s in steps[:2])
     assert {(r.src, r.dst): r.extra for r in met.collect()} == {(i, j): min(i, 5) + 1 for i in range(40) for j in range(i + 1, 40)}
+
+
+def test_merged_diameter_searches_from_few_clients(spark):
+    """Groups that large hubs link bound all distances, so clients with links of their own need no search of their own."""
+    from datetime import datetime
+
+    from ledgerloom.graph import classes
+    from ledgerloom.operators.edges import induced
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(900):
+        c = f"client_{i % 220}"
+        rows.append((f"t{i}", c, datetime(2024, 1, 1 + i % 28), 1.0, f"m{rnd.randrange(60)}", "deposit", f"s{rnd.randrange(60)}", None, f"10.0.0.{rnd.randrange(40)}",
+                     rnd.choice(["N", "S"]) if i < 220 else None, rnd.choice(["ios", "web", "android", "tv"]), None, None))
+    tx = spark.createDataFrame(rows, merged_transactions(spark).schema)
+    for cut_off in (0.5, 1.0):  # an edge needs one hub, or two
+        g = classes.class_graph(tx, large=40, min_weight=cut_off)
+        listed = classes.expanded(g).filter("src <> dst")
+        core = components.largest_component(components.connected_components(listed, vertices=g.members.select("id")))
+        row = classes.merged_diameter(g).first()
+        assert (row.diameter, row.nodes) == (paths.diameter(induced(listed, core)).first().diameter, core.count())
+        assert row.sources <= 64 < row.nodes
