@@ -114,6 +114,14 @@ def test_votes_that_do_not_fit_one_number(spark, monkeypatch):
     assert as_dict(label_propagation(frame(spark, edges), 4)) == ref.label_propagation(edges, 4)
 
 
+def test_links_of_a_round_are_dealt_to_many_tasks(spark):
+    """A million links, both ways counted, were one task of every round."""
+    edges = spark.range(500_000).select(F.col("id").alias("src"), (F.col("id") + 500_000).alias("dst"), F.lit(1.0).alias("weight"))
+    adj = adjacency(edges)
+    assert adj.links.rdd.getNumPartitions() >= 4 and adj.links.count() == 1_000_000
+    adj.release()
+
+
 def test_algorithms_on_sliced_adjacency(spark, monkeypatch):
     edges = STAR + [("s0", "s1", 1.0), ("s4", "s5", 2.0)]
     original = adj_mod.adjacency
