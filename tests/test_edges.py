@@ -113,6 +113,20 @@ def test_sequential_edges(spark):
     assert pairs(ed.sequential_edges(frame(spark, rows))) == [("a", "b")]
 
 
+def test_the_last_writer_links_neighbours_at_merchants_of_any_size(spark, monkeypatch):
+    from ledgerloom.catalog import edges as catalog
+
+    hours = [0, 1, 5, 5, 24, 47, 48, 49, 97, 98, 171] + list(range(300, 420))  # no row within a day of 49, 98 and 171
+    rows = [dict(client_id=f"c{i:03d}", merchant="crowd", datetime=T0 + timedelta(hours=h, microseconds=i)) for i, h in enumerate(hours)]
+    rows += [dict(client_id="lone", merchant="small"), dict(client_id="lone", merchant="crowd", datetime=None)]
+    want = {(f"c{i:03d}", f"c{i + 1:03d}") for i in range(len(hours) - 1) if hours[i + 1] - hours[i] < 24}
+    tx = frame(spark, rows)
+    assert set(pairs(ed.sequential_edges(tx, max_rows=None))) == want and len(want) == len(hours) - 4
+    monkeypatch.setattr(catalog, "tx_orders", lambda s, sf: tx)
+    assert set(pairs(catalog.q_lastwriter(spark, None))) == want
+    assert set(pairs(ed.last_writer_graph(tx))) == want
+
+
 def row_pairs(clients):
     return [tuple(sorted(p)) for p in combinations(clients, 2)]
 
