@@ -127,6 +127,29 @@ def test_the_last_writer_links_neighbours_at_merchants_of_any_size(spark, monkey
     assert set(pairs(ed.last_writer_graph(tx))) == want
 
 
+@pytest.mark.parametrize("products", [4_000_000, 60])
+def test_last_writer_pairs_are_listed_once_in_many_cells(spark, monkeypatch, products):
+    """The latest kind of each pair, and no row per pair passes a shuffle."""
+    import random
+
+    monkeypatch.setattr(ed, "LAST_WRITER_PRODUCTS", products)
+    rnd = random.Random(7)
+    rows = [dict(client_id=rnd.choice([f"c{rnd.randrange(30)}"] * 9 + [None]), session_id=rnd.choice(["big", "s1", "s2", None]), merchant=f"m{i % 3}",
+                 region=rnd.choice(["N", "S"]), transaction_type=rnd.choice(["p2p", "withdrawal"]), recipient_id=f"c{rnd.randrange(35)}",
+                 datetime=T0 + timedelta(hours=rnd.randrange(60))) for i in range(120)]
+    tx = frame(spark, rows)
+    columns = ["src", "dst", "relationship", "weight"]
+    plain = ed.merge_last_writer(
+        ed.sequential_edges(tx, max_rows=None).unionByName(ed.raw_transfer_pairs(tx))
+        .unionByName(ed.session_edges(tx, True, collapse=False).select(*columns)).unionByName(ed.withdrawal_edges(tx, True, collapse=False).select(*columns))
+    )
+    made = ed.last_writer_pairs(tx)
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, made.select(*columns).collect())) == sorted(map(key, plain.select(*columns).collect()))
+    steps = [s.strip(" +-:") for s in made._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert steps[0].startswith("Union") and any(s.startswith("FlatMapGroupsInArrow") for s in steps[1:3])
+
+
 def row_pairs(clients):
     return [tuple(sorted(p)) for p in combinations(clients, 2)]
 
