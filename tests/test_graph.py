@@ -378,3 +378,32 @@ def test_merged_diameter_searches_from_few_clients(spark):
         row = classes.merged_diameter(g).first()
         assert (row.diameter, row.nodes) == (paths.diameter(induced(listed, core)).first().diameter, core.count())
         assert row.sources <= 64 < row.nodes
+
+
+@pytest.mark.parametrize("few, opposite, products, large, cut_off", [(0, 4096, 4_000_000, 5, 1.0), (0, 7, 50, 12, 1.5), (1e9, 3, 10, 1000, 1.0)])
+def test_merged_measures_list_no_pairs_that_classes_imply(spark, monkeypatch, few, opposite, products, large, cut_off):
+    """Sums leave their cells added up, and edges are listed only where a pair of classes is none: both as in the listed corrections."""
+    from ledgerloom.graph import class_triangles, classes, meeting
+
+    monkeypatch.setattr(meeting, "FEW", few)
+    monkeypatch.setattr(meeting, "OPPOSITE", opposite)
+    monkeypatch.setattr(meeting, "PRODUCTS_PER_CELL", products)
+    tx = merged_transactions(spark).cache()
+    # Amounts below 0 take weight off, down to edges that go.
+    tx = tx.unionByName(tx.filter("transaction_type = 'p2p'").limit(6).withColumn("amount", F.lit(-0.99)).withColumn("recipient_id", F.lit("client_1")))
+    g = classes.class_graph(tx, large=large, min_weight=cut_off)
+    rows = g.whole()
+    assert g.corrections is None
+    if not few:
+        monkeypatch.setattr(g.meeting, "listing", lambda: pytest.fail("corrections were listed"))
+        g.meeting.written.clear()
+    change = {(r.src, r.dst) for r in rows.corrections.collect() if (r.weight >= cut_off) != (r.base > 0)}
+    assert {(r.src, r.dst): r.base > 0 for r in g.only_edges().corrections.collect()} == {
+        (r.src, r.dst): r.base > 0 for r in rows.corrections.collect() if (r.src, r.dst) in change}
+    assert classes.merged_density(g).collect() == classes.merged_density(rows).collect()
+    want = {r.id: (r.degree, round(r.w_degree, 9)) for r in classes.merged_degrees(rows).collect()}
+    assert {r.id: (r.degree, round(r.w_degree, 9)) for r in classes.merged_degrees(g).collect()} == want
+    community = spark.createDataFrame([(v, str(i % 3)) for i, v in enumerate(sorted(want)) if i % 5], "id string, community_id string")
+    got, listed = ({(r.src, r.dst): (r.edges, round(r.weight, 9)) for r in class_triangles.merged_meta_graph(x, community).collect()} for x in (g, rows))
+    assert got == listed and len(got) == 3
+    assert classes.merged_modularity(g, community).first()[0] == pytest.approx(classes.merged_modularity(rows, community).first()[0])
